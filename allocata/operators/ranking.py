@@ -31,8 +31,7 @@ def rank_key(as_of: Column, confidence: Column, extracted: Column, ident: Column
 
 def first_by_rank(key: Column, *values: Column) -> Column:
     """Aggregate: the values of the record that ranks first among those where all values are non-null."""
-    present = values[0].isNotNull()
-    for v in values[1:]:
-        present = present & v.isNotNull()
     carried = F.struct(key.alias("k"), *[v.alias(f"v{i}") for i, v in enumerate(values)])
-    return F.min(F.when(present, carried) if values else carried)
+    for v in values:
+        carried = F.when(v.isNotNull(), carried)
+    return F.min(carried)

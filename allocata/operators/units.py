@@ -46,7 +46,7 @@ def median(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Lower case, every kind of white space as one blank, trimmed; texts that mean `no data` become null."""
-    t = F.lower(F.trim(F.regexp_replace(c, r"(?U)[\s   ​﻿]+", " ")))
+    t = F.lower(F.trim(F.regexp_replace(c, r"(?U)[\s\x{a0}\x{2007}\x{202f}\x{200b}\x{feff}]+", " ")))
     return F.when(~t.isin(*NO_DATA), t)
 
 
