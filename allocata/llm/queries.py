@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allocata.llm import encode, lookalikes, packing, spellings, survivors
+from allocata.llm import encode, lookalikes, matching, packing, spellings, survivors
 from allocata.session import table
 
 
@@ -39,6 +39,20 @@ def p2_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.fused_fields(_records(spark, sf_dir))
 
 
+def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.matched(
+        table(spark, sf_dir, "funds", "id", "fund_name", "general_partner", "vintage_year", "fund_size_mm"),
+        table(spark, sf_dir, "custodian_holdings", "holding_id", "holder_name", "security_name", "vintage", "committed_usd"),
+        table(spark, sf_dir, "commitments", "pension_fund_id", "fund_id", "commitment_mm", "net_irr", "net_multiple", "as_of_date"),
+        table(spark, sf_dir, "pension_funds", "id", "name", "full_name"),
+        table(spark, sf_dir, "disclosures_raw", "id", "pension_fund_id", "commitment_text", "net_irr_text", "unit_note"),
+    )
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_matches(spark, sf_dir).select("fund_id", "holding_id")
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", "doc_id", "text")
 
@@ -59,7 +73,7 @@ def p10_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.canonical_texts(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_managers, p2_found, p2_fused, p8_ids, p9_bins, p10_found, p10_canonical)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_managers, p2_found, p2_fused, p3_found, p3_matches, p8_ids, p9_bins, p10_found, p10_canonical)}
 
 _QUARTER = "(year(as_of_date)::VARCHAR || 'Q' || quarter(as_of_date)::VARCHAR)"
 _P2 = f"""
