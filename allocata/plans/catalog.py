@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from allocata.plans import data_quality
+from allocata.plans import data_quality, metrics, parsing, state, text
 
-FLAGSHIP = "p4_found"
-QUERIES = {**data_quality.QUERIES}
-ORACLE = {**data_quality.ORACLE}
+FLAGSHIP = "fund_summary"
+MODULES = (metrics, parsing, state, text, data_quality)
+QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+ORACLE = {k: q for m in MODULES for k, q in m.ORACLE.items()}
