@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 
 def dec(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(24,6)")
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(28,7)")
 
 
 def dsum(c: Column | str) -> Column:

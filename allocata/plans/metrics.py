@@ -245,7 +245,7 @@ _J = "commitments c JOIN funds f ON c.fund_id = f.id JOIN pension_funds p ON c.p
 
 
 def _sum(c: str) -> str:
-    return f"CAST(CAST(sum(CAST({c} AS DECIMAL(24,6))) AS VARCHAR) AS DOUBLE)"  # through text: a direct cast of a large decimal is off by a digit
+    return f"CAST(CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(28,7))) AS VARCHAR) AS DOUBLE)"  # through text: a direct cast of a large decimal is off by a digit
 
 
 def _avg(c: str) -> str:
