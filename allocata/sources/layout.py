@@ -100,7 +100,7 @@ def holds_fund_data(text: Column) -> Column:
 def name_year_amounts(lines: DataFrame, text: str = "text", first_year: int = 1990, last_year: int = 2026) -> DataFrame:
     """Rows of plain text: the name stands before the first year, amounts after it by position."""
     year = F.regexp_extract(text, r"\b((?:19|20)\d{2})\b", 1)
-    parsed = lines.withColumn("year", year).where("year <> ''").withColumn("fund_name", F.regexp_replace(F.trim(F.substring_index(F.col(text), F.col("year"), 1)), ",+$", ""))
+    parsed = lines.withColumn("year", year).where("year <> ''").withColumn("fund_name", F.regexp_replace(F.trim(F.expr(f"substring(`{text}`, 1, instr(`{text}`, year) - 1)")), ",+$", ""))
     rest = F.expr(f"substring(`{text}`, instr(`{text}`, year) + 4)")
     amounts = F.regexp_extract_all(rest, F.lit(r"\$?([\d,]+\.?\d*)"), F.lit(1))
     wanted = ("commitment", "called", "distributed", "remaining", "irr", "multiple")
