@@ -35,7 +35,7 @@ BLANKS = "".join(map(chr, (0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F,
 HYPHENS = "".join(map(chr, (0x2010, 0x2011, 0xFE63)))
 # Characters without any ink that do not change how their neighbours look.
 INVISIBLE = r"[\x{ad}\x{34f}\x{61c}\x{180e}\x{200b}\x{200e}\x{200f}\x{202a}\x{202c}\x{2060}-\x{2064}\x{2066}-\x{2069}\x{feff}]"
-_SHAPED = r"\x{600}-\x{dff}\x{1f000}-\x{1faff}\x{2600}-\x{27bf}\x{fe0f}"
+_SHAPED = r"\x{600}-\x{dff}\x{1f000}-\x{1faff}\x{2600}-\x{27bf}\x{fe0f}\x{dc00}-\x{dfff}"  # the last range: a look-behind sees half of an emoji
 JOINERS = rf"(?<![{_SHAPED}])[\x{{200c}}\x{{200d}}]|[\x{{200c}}\x{{200d}}](?![{_SHAPED}])"
 
 
@@ -71,6 +71,12 @@ def mapped(text: Column) -> Column:
     return F.when(out.rlike("[" + "".join(several) + "]"), wide).otherwise(out)
 
 
+def reading(form: Column) -> Column:
+    """What is compared: the mapped text under the collation. The collation ignores joiners, so those that shape their
+    neighbours stand as private characters here."""
+    return F.collate(F.translate(form, "\u200c\u200d", "\U0010ff01\U0010ff02"), "UNICODE")
+
+
 def has_ink(mapped_text: Column) -> Column:
     return mapped_text.rlike(r"[^\s\p{Z}\p{C}]")
 
@@ -85,8 +91,8 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tu
     texts = hashed.groupBy("text_hash").agg(F.min("key").alias("first_key"), F.any_value("text").alias("text"))
     forms = cut(texts.select("text_hash", "first_key", mapped(F.col("text")).alias("form")))
     distinct = forms.groupBy("form").agg(F.min("first_key").alias("first_key"))
-    reads = distinct.groupBy(F.collate(F.col("form"), "UNICODE").alias("reads")).agg(F.min("first_key").alias("class_id"), F.min("form").alias("canonical"))
-    joined = forms.join(reads, F.collate(F.col("form"), "UNICODE") == F.col("reads"))
+    reads = distinct.groupBy(reading(F.col("form")).alias("reads")).agg(F.min("first_key").alias("class_id"), F.min("form").alias("canonical"))
+    joined = forms.join(reads, reading(F.col("form")) == F.col("reads"))
     return hashed.select("key", "text_hash"), joined.select("text_hash", "class_id", "canonical", has_ink(F.col("canonical")).alias("inked"))
 
 

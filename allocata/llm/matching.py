@@ -159,9 +159,11 @@ def candidate_pairs(funds: DataFrame, holdings: DataFrame, commitments: DataFram
 
 
 def weak_labels(pairs: DataFrame) -> DataFrame:
-    """Pairs with a label: 1 where name, vintage and position agree, 0 where the name differs or the vintage is far off."""
+    """Pairs with a label: 1 where name, vintage and position agree (without a vintage: name and amount), 0 where the
+    name differs or the vintage is far off."""
     here = (F.col("holder_in") == 1) | (F.col("amount_close") == 1)
-    same = (F.col("worse") >= 0.9) & ((F.col("vintage_same") == 1) | (F.col("vintage_near") == 1)) & here
+    known = (F.col("vintage_same") == 1) | (F.col("vintage_near") == 1)
+    same = (F.col("worse") >= 0.9) & ((known & here) | ((F.col("vintage_far") == 0) & (F.col("amount_close") == 1)))
     other = (F.col("worse") < 0.6) | ((F.col("vintage_far") == 1) & (F.col("own_close") == 0))
     return pairs.select(*FEATURES, "holding_id", F.when(same, 1).when(other, 0).alias("label")).where("label IS NOT NULL")
 

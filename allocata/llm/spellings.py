@@ -71,7 +71,7 @@ def cores_of(strings: DataFrame) -> DataFrame:
 
 def core_key(c: Column) -> Column:
     """Key of a distinctive part, the same for both orders of its words."""
-    return F.concat_ws(" ", F.least(c["a"], c["b"]), F.greatest(c["a"], c["b"]))
+    return F.when(c.isNotNull(), F.concat_ws(" ", F.least(c["a"], c["b"]), F.greatest(c["a"], c["b"])))
 
 
 def core_roots(cores: DataFrame, threshold: float = 0.7) -> DataFrame:

@@ -67,7 +67,10 @@ def judged_claims(stated: DataFrame) -> DataFrame:
 def source_quality(judged: DataFrame, rounds: int = 8, prior: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """(quality by source, posterior by pattern) after `rounds` of expectation-maximisation.
 
-    Starting values: sensitivity 0.8, specificity 0.9; one pseudo-count each keeps them inside (0, 1).
+    judged holds all claims, the undisputed ones too: they tell what a source states when it is right. Starting values
+    are sensitivity 0.8 and specificity 0.9, and they stay in as ten pseudo-counts each. A statement is never taken as
+    evidence against itself, so a source's specificity stays above 1 - sensitivity; without this a source that is
+    mostly wrong would turn into an oracle of the contrary and drag the others with it.
     """
     patterns = cut(judged.groupBy("field", "sources", "others").agg(F.count(F.lit(1)).alias("n")))
     votes = F.array_union(
@@ -86,9 +89,10 @@ def source_quality(judged: DataFrame, rounds: int = 8, prior: float = 0.5) -> tu
         held = flat.join(posterior.drop("n"), ["field", "sources", "others"])
         w, says = F.col("n") * F.col("p"), F.col("says")
         v = F.col("n") * (1 - F.col("p"))
-        quality = cut(held.groupBy("source").agg(
-            ((F.sum(w * says) + 0.8) / (F.sum(w) + 1)).alias("sensitivity"), ((F.sum(v * (1 - says)) + 0.9) / (F.sum(v) + 1)).alias("specificity"),
-        ))
+        raw = held.groupBy("source").agg(
+            ((F.sum(w * says) + 8) / (F.sum(w) + 10)).alias("sensitivity"), ((F.sum(v * (1 - says)) + 9) / (F.sum(v) + 10)).alias("specificity"),
+        )
+        quality = cut(raw.select("source", "sensitivity", F.greatest("specificity", F.lit(1.01) - F.col("sensitivity")).alias("specificity")))
     return quality, cut(posterior)
 
 
@@ -97,8 +101,9 @@ def fused_fields(commitments: DataFrame, fields: tuple[str, ...] = FIELDS, accep
 
     The best value of a field is the most probable one, among equals that of the record that ranks first; it is kept even if none reaches `accept`.
     """
-    judged = cut(judged_claims(claims(commitments, fields)).where("n_values > 1"))
-    _, posterior = source_quality(judged)
+    every = cut(judged_claims(claims(commitments, fields)))
+    _, posterior = source_quality(every)
+    judged = every.where("n_values > 1")
     group = ["pension_fund_id", "fund_id", "quarter", "field"]
     scored = judged.join(posterior.drop("n"), ["field", "sources", "others"]).select(*group, "value", "p", "rank")
     best = scored.groupBy(*group).agg(F.min(F.struct(-F.round("p", 9), "rank", "value")).alias("b"))
