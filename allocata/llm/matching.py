@@ -4,7 +4,8 @@
    name states, and a holding's grams are MinHashed; two names meet if one of `BANDS` minima agrees. Names are blocked as distinct
    parsed forms, so a fund that a third of the holdings share is compared once.
 2. Features of a pair: the better and worse word similarity, vintage, amount against any position and against the
-   holder's own, whether the holder has a position in the fund, whether the holding states a number.
+   holder's own, whether the holder has a position in the fund, whether the holding states a number, and whether that
+   number comes with the fund's name and vintage (or, without a vintage, with a position of the holder): a name without a number may be any fund of its series.
 3. A logistic classifier fitted on weak labels (agreement on name, vintage and position against pairs with another name
    or a far vintage), on a sample of at most `SAMPLE` labelled pairs, half for fitting and half for Platt calibration. The model is
    applied as a column expression to all pairs.
@@ -28,9 +29,9 @@ from allocata.session import cut
 BANDS = 24
 SAMPLE = 20_000
 ACCEPT = 0.5
-FEATURES = ("better", "worse", "vintage_same", "vintage_near", "vintage_far", "amount_close", "amount_far", "own_close", "own_far", "holder_in", "holder_out", "numbered")
+FEATURES = ("better", "worse", "vintage_same", "vintage_near", "vintage_far", "amount_close", "amount_far", "own_close", "own_far", "holder_in", "holder_out", "numbered", "identified")
 # Weights before any fitting: both words must fit; agreement of the rest adds to it.
-START = {"bias": -16.0, "better": 4.0, "worse": 14.0, "vintage_same": 1.5, "vintage_near": 0.5, "vintage_far": -3.0, "amount_close": 1.5, "amount_far": -0.5, "own_close": 1.5, "own_far": -0.5, "holder_in": 1.0, "holder_out": -2.0, "numbered": 0.5}
+START = {"bias": -16.0, "better": 4.0, "worse": 14.0, "vintage_same": 1.5, "vintage_near": 0.5, "vintage_far": -3.0, "amount_close": 1.5, "amount_far": -0.5, "own_close": 1.5, "own_far": -0.5, "holder_in": 1.0, "holder_out": -2.0, "numbered": 0.5, "identified": 3.0}
 
 
 def parsed(rows: DataFrame, name: str) -> DataFrame:
@@ -154,16 +155,18 @@ def candidate_pairs(funds: DataFrame, holdings: DataFrame, commitments: DataFram
         flag(any_gap < 0.05).alias("amount_close"), flag(any_gap >= 0.05).alias("amount_far"),
         flag(own_gap < 0.05).alias("own_close"), flag(F.col("investor").isNotNull() & (own_gap >= 0.05)).alias("own_far"),
         flag(F.col("investor").isNotNull() & (F.size(own) > 0)).alias("holder_in"), flag(F.col("investor").isNotNull() & (F.coalesce(F.size(own), F.lit(0)) <= 0)).alias("holder_out"), flag(F.col("numbered")).alias("numbered"),
+        flag((F.col("worse") >= 0.9) & F.col("numbered") & F.coalesce(years <= 1, F.col("investor").isNotNull() & (F.size(own) > 0))).alias("identified"),
         F.when(F.size(own) > 0, F.coalesce(own_gap, F.lit(5.0))).otherwise(F.coalesce(any_gap, F.lit(5.0)) + 10.0).alias("distance"),
     )
 
 
 def weak_labels(pairs: DataFrame) -> DataFrame:
-    """Pairs with a label: 1 where name, vintage and position agree (without a vintage: name and amount), 0 where the
+    """Pairs with a label: 1 where name, vintage and position agree (without a vintage: name and amount;
+    with a number: name and vintage), 0 where the
     name differs or the vintage is far off."""
     here = (F.col("holder_in") == 1) | (F.col("amount_close") == 1)
     known = (F.col("vintage_same") == 1) | (F.col("vintage_near") == 1)
-    same = (F.col("worse") >= 0.9) & ((known & here) | ((F.col("vintage_far") == 0) & (F.col("amount_close") == 1)))
+    same = (F.col("worse") >= 0.9) & ((known & here) | ((F.col("vintage_far") == 0) & (F.col("amount_close") == 1)) | (F.col("identified") == 1))
     other = (F.col("worse") < 0.6) | ((F.col("vintage_far") == 1) & (F.col("own_close") == 0))
     return pairs.select(*FEATURES, "holding_id", F.when(same, 1).when(other, 0).alias("label")).where("label IS NOT NULL")
 
