@@ -105,10 +105,10 @@ def core_roots(cores: DataFrame, threshold: float = 0.7) -> DataFrame:
     # Parents are better attested than their children, so following them ends; each round doubles the distance.
     while True:
         up = follow.select(F.col("core").alias("root"), F.col("root").alias("next"))
-        jumped = cut(follow.join(up, "root").select("core", F.col("next").alias("root")))
-        if jumped.join(follow, ["core", "root"], "left_anti").isEmpty():
-            return jumped
-        follow = jumped
+        follow = cut(follow.join(up, "root").select("core", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")))
+        if follow.where("moved").isEmpty():
+            return follow.select("core", "root")
+        follow = follow.drop("moved")
 
 
 def manager_strings(funds: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -123,7 +123,7 @@ def link_names(funds: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataFra
     """
     spellings = manager_strings(funds, aliases)
     strings = spellings.unionByName(funds.select(F.col("fund_name_raw").alias("name")).where("name IS NOT NULL"))
-    roots = cut(core_roots(cores_of(strings)))
+    roots = core_roots(cores_of(strings))
     key = core_key(names.core(names.words(F.col("name"))))
     managers = spellings.withColumn("core", key).join(roots, "core", "left").select("name", F.col("root").alias("manager"))
     tokens = F.col("tokens")
