@@ -170,6 +170,20 @@ def test_matching(spark):
     assert matching.matched(f.limit(0), h.limit(0), c.limit(0), p.limit(0), d).count() == 0
 
 
+def test_blocking_recall(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abdegklmnorstuz") for _ in range(9)) for _ in range(30)]
+    forms = [(i, *rng.sample(words, 2), "asia", rng.randrange(3)) for i in range(150)]
+    forms += [(1000 + i, a[:5] + rng.choice("xyq") + a[6:], b, s, k) for i, a, b, s, k in forms]
+    df = spark.createDataFrame(forms, "form long, a string, b string, strategy string, number int")
+    grams = {r["form"]: set(r["g"]) for r in df.select("form", F.transform(matching._grams(F.col("a"), F.col("b")), lambda x: F.concat_ws("|", x, "strategy", "number")).alias("g")).collect()}
+    want = {(x, y) for x in grams for y in grams if x < y and len(grams[x] & grams[y]) >= 0.5 * len(grams[x] | grams[y])}
+    b = matching.bands(df)
+    met = b.join(b.withColumnRenamed("form", "other"), ["band", "minimum"]).where("form < other").select("form", "other").distinct()
+    got = {tuple(r) for r in met.collect()}
+    assert len(want) > 100 and len(want & got) >= 0.97 * len(want)
+
+
 # ---- p8
 
 
