@@ -16,10 +16,13 @@ import functools
 import os
 import re
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 RANKS = os.environ.get("ALLOCATA_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: Fixed value: the pattern that splits text before the merges of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -71,6 +74,8 @@ def token_ids(documents: DataFrame, key: str = "doc_id", text: str = "text", ran
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
         for b in batches:
             # Long texts make batches of very different weight; small slices keep what is in memory small.
             for at in range(0, b.num_rows, 512):
@@ -87,6 +92,8 @@ def token_counts(documents: DataFrame, key: str = "doc_id", text: str = "text",
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
         for b in batches:
             sizes = pa.array([len(encode(t, ranks)) for t in b.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), sizes], [key, "n_tokens"])
