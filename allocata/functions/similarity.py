@@ -4,12 +4,8 @@ Spark's levenshtein counts a substitution as one edit and cannot stand in for it
 with the bit-parallel recurrence on whole integers (Crochemore et al. 2001; Hyyroe 2004): one step per character of one text.
 """
 
-from __future__ import annotations
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -31,9 +27,13 @@ def ratio(a: str | None, b: str | None) -> float | None:
     return 1.0 if total == 0 else 2.0 * lcs_length(a, b) / total
 
 
-@F.pandas_udf(T.DoubleType())
-def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+def indel_ratio(a: Column | str, b: Column | str) -> Column:
+    import pandas as pd  # only where it is used: a driver that plans other queries stays small
+
+    def batch(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([ratio(i, j) for i, j in zip(x, y, strict=True)], dtype="float64")
+
+    return F.pandas_udf(batch, "double")(a, b)
 
 
 def token_sorted(name: Column) -> Column:

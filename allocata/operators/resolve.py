@@ -10,7 +10,8 @@ Defined results: a null or blank name is resolved to nothing; repeated names fol
 
 from __future__ import annotations
 
-import pandas as pd
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,9 @@ from allocata.functions.fund_names import distinctive_tokens, fund_number, norma
 from allocata.functions.similarity import indel_ratio, ratio, token_sorted
 from allocata.session import cut
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 # Gates and signals of a match.
 RATIO_GATE, JACCARD_GATE, NAME_SIGNAL, MANAGER_SIGNAL, NAME_FLOOR, SIGNALS = 0.65, 0.3, 0.85, 0.85, 0.75, 2
 FIRM_MATCH, AUTO_TOKEN, AUTO_RATIO, AUDIT_RATIO = 0.85, 0.90, 0.75, 0.75
@@ -85,6 +89,8 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
 
 def _replay(rows: pd.DataFrame) -> pd.DataFrame:
     """The sequential rule over one component; rows hold a name and its candidate earlier names."""
+    import pandas as pd
+
     funds: dict[str, tuple] = {}
     out = []
     for r in rows.sort_values("arrival", kind="stable").itertuples():

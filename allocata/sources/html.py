@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from allocata.functions.parsers import as_of_date, derived_multiple, dollar_amount, percentage, present, vintage_year
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 
 class _Tables(HTMLParser):
     """Collects tables as lists of rows of (is_header, text)."""
@@ -68,6 +71,8 @@ def table_rows(pages: DataFrame, key: str, html: str, table_index: int = 0) -> D
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         for b in batches:
             out = []
             for k, h in zip(b[key], b[html], strict=True):
