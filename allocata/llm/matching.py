@@ -104,14 +104,13 @@ def name_similarities(la: Column, lb: Column, ra: Column, rb: Column) -> Column:
 
 
 def investors_of(holdings: DataFrame, investors: DataFrame) -> DataFrame:
-    """(holder_name, investor): the investor whose own word a holder's name spells, by the spelling operator's word links."""
+    """(holder_name, investor): the investor whose own (first) word a word of the holder's name spells within two edits."""
     word = names.words(F.coalesce("full_name", "name", "id"))
-    own = investors.select(F.col("id").alias("investor"), F.element_at(word, 1).alias("word")).where("word IS NOT NULL")
+    own = investors.select(F.col("id").alias("investor"), F.try_element_at(word, F.lit(1)).alias("word")).where("word IS NOT NULL")
     said = holdings.select("holder_name").where("holder_name IS NOT NULL").distinct().select("holder_name", F.explode(F.array_distinct(names.words(F.col("holder_name")))).alias("typed"))
-    support = own.select("word", F.lit(2).cast("bigint").alias("n")).unionByName(said.select(F.col("typed").alias("word")).distinct().join(own.select("word"), "word", "left_anti").select("word", F.lit(1).cast("bigint").alias("n")))
-    links = spellings.word_links(support.groupBy("word").agg(F.max("n").alias("n")))
-    best = said.join(links, "typed").join(own, "word").groupBy("holder_name").agg(F.max(F.struct("sim", "investor"))["investor"].alias("investor"))
-    return best
+    met = said.select("holder_name", "typed", F.explode(spellings.grams(F.col("typed"))).alias("g")).join(own.select("investor", "word", F.explode(spellings.grams(F.col("word"))).alias("g")), "g")
+    d = F.levenshtein("typed", "word", spellings.EDITS)
+    return met.where(F.abs(F.length("typed") - F.length("word")) <= spellings.EDITS).withColumn("d", d).where("d >= 0").groupBy("holder_name").agg(F.min(F.struct("d", "investor"))["investor"].alias("investor"))
 
 
 def positions(commitments: DataFrame, sources: DataFrame) -> DataFrame:

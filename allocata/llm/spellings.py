@@ -27,7 +27,8 @@ EDITS = 2  # edits a typed word may be away: one swap of neighbours, or two sing
 SHORT = 4  # letters that a cut-off word keeps
 
 
-def _grams(word: Column) -> Column:
+def grams(word: Column) -> Column:
+    """Padded trigrams of a word."""
     padded = F.concat(F.lit("^^"), word, F.lit("$"))
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, 3)))
 
@@ -38,7 +39,7 @@ def word_links(support: DataFrame) -> DataFrame:
     support: (word, n) with n the number of different strings the word stands in.
     """
     vowels = names.skeleton(F.col("word"))
-    typed = support.select("word", "n", _grams(F.col("word")).alias("g"))
+    typed = support.select("word", "n", grams(F.col("word")).alias("g"))
     frequency = typed.select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("gram_n"))
     flat = typed.select("word", "n", F.explode("g").alias("gram")).join(frequency, "gram")
     # A group is one word here, so the window never holds more than its grams.
