@@ -57,9 +57,9 @@ def word_links(support: DataFrame) -> DataFrame:
     )
     full = support.where("n >= 2").select("word", F.col("n").alias("word_n"), F.substring("word", 1, SHORT).alias("short"), vowels.alias("bones"))
     cut_off = support.where(F.length("word").between(3, SHORT)).select(F.col("word").alias("typed"), F.rpad("word", SHORT, "?").alias("short"), "n")
-    shortened = cut_off.join(full, "short").where("word_n > n AND length(word) > length(typed)").select("typed", "word", "word_n", F.lit(0.8).alias("sim"))
+    shortened = cut_off.join(full, "short").where("length(word) > length(typed)").select("typed", "word", "word_n", F.lit(0.8).alias("sim"))
     boned = support.where(vowels == F.col("word")).select(F.col("word").alias("typed"), F.col("word").alias("bones"), "n")
-    no_vowels = boned.join(full, "bones").where("word_n > n AND word <> typed").select("typed", "word", "word_n", F.lit(0.85).alias("sim"))
+    no_vowels = boned.join(full, "bones").where("word <> typed").select("typed", "word", "word_n", F.lit(0.85).alias("sim"))
     itself = support.select(F.col("word").alias("typed"), "word", F.col("n").alias("word_n"), F.lit(1.0).alias("sim"))
     return near.unionByName(shortened).unionByName(no_vowels).unionByName(itself).groupBy("typed", "word", "word_n").agg(F.max("sim").alias("sim"))
 
@@ -99,11 +99,12 @@ def core_roots(cores: DataFrame, threshold: float = 0.7) -> DataFrame:
         .withColumn("score", (F.col("sa") * F.col("ga") + F.col("sb") * F.col("gb")) / (F.col("ga") + F.col("gb")))
         .where(F.col("score") >= threshold)
         .join(anchors, "parent")
-        .where("parent <> core AND (parent_n > n OR joined)")
+        # Parents stand in more strings, or in as many and are longer (an abbreviation follows the full name): no cycles.
+        .where("parent <> core AND (parent_n > n OR joined OR (parent_n = n AND length(parent) > length(core)))")
     )
     best = found.groupBy("core").agg(F.max(F.struct("score", "parent_n", "parent"))["parent"].alias("parent"))
     follow = cut(cores.select("core").join(best, "core", "left").select("core", F.coalesce("parent", "core").alias("root")))
-    # Parents are better attested than their children, so following them ends; each round doubles the distance.
+    # Parents come later in the order (strings, length), so following them ends; each round doubles the distance.
     while True:
         up = follow.select(F.col("core").alias("root"), F.col("root").alias("next"))
         follow = cut(follow.join(up, "root").select("core", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")))
