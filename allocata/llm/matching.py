@@ -10,7 +10,8 @@
 3. A logistic classifier fitted on weak labels (agreement on name, vintage and position against pairs with another name
    or a far vintage), on a sample of at most `SAMPLE` labelled pairs, half for fitting and half for Platt calibration. The model is
    applied as a column expression to all pairs.
-4. Each holding takes its most probable fund if that reaches `ACCEPT`; among the ids of one fund the holder's own position decides.
+4. Each holding takes its most probable fund if that reaches `ACCEPT`; among the ids of one fund the holder's own position decides,
+   among the funds of a series, for a name without a number, the confidence.
 
 Defined results: missing vintage, amount or holder are features of their own and never exclude a pair; a holding without
 a distinctive word has no candidates by name; repeated holdings are matched each; ties go to the smaller fund id; with too few weak
@@ -30,6 +31,7 @@ from allocata.session import cut
 BANDS, ROWS = 20, 2
 SAMPLE = 8_000
 ACCEPT = 0.5
+ANY = 0  # the number of a name that states none: it is compared with every fund of its series
 FEATURES = ("better", "worse", "vintage_same", "vintage_near", "vintage_far", "amount_close", "amount_far", "own_close", "own_far", "holder_in", "holder_out", "numbered", "identified")
 # Weights before any fitting: both words must fit; agreement of the rest adds to it.
 START = {"bias": -16.0, "better": 4.0, "worse": 14.0, "vintage_same": 1.5, "vintage_near": 0.5, "vintage_far": -3.0, "amount_close": 1.5, "amount_far": -0.5, "own_close": 1.5, "own_far": -0.5, "holder_in": 1.0, "holder_out": -2.0, "numbered": 0.5, "identified": 3.0}
@@ -131,6 +133,9 @@ def candidate_pairs(funds: DataFrame, holdings: DataFrame, commitments: DataFram
     holder = investors_of(holdings, investors)
     h = resolved(parsed(holdings.select("holding_id", "security_name", "holder_name", "vintage", "committed_usd"), "security_name"), roots).join(holder, "holder_name", "left")
     form = F.xxhash64("a", "b", "strategy", "number")
+    # A fund is blocked under its number and once more under `ANY`, where the holdings without a number look for it.
+    f = f.withColumn("number", F.explode(F.array("number", F.lit(ANY))))
+    h = h.withColumn("number", F.when(F.col("numbered"), F.col("number")).otherwise(ANY))
     f, h = cut(f.withColumn("form", form)), cut(h.withColumn("form", form))
     ff, hf = f.select("form", "a", "b", "strategy", "number").distinct(), h.select("form", "a", "b", "strategy", "number").distinct()
     met = bands(ff).withColumnRenamed("form", "f_form").join(bands(hf).withColumnRenamed("form", "h_form"), ["band", "minimum"]).select("f_form", "h_form").distinct()
@@ -162,12 +167,12 @@ def candidate_pairs(funds: DataFrame, holdings: DataFrame, commitments: DataFram
 
 
 def weak_labels(pairs: DataFrame) -> DataFrame:
-    """Pairs with a label: 1 where name, vintage and position agree (without a vintage: name and amount;
-    with a number: name and vintage), 0 where the
+    """Pairs with a label: 1 where name, vintage and position agree (without a vintage: name and amount, which must be the
+    holder's own if the name has no number, as a series has many amounts; with a number: name and vintage), 0 where the
     name differs or the vintage is far off."""
     here = (F.col("holder_in") == 1) | (F.col("amount_close") == 1)
     known = (F.col("vintage_same") == 1) | (F.col("vintage_near") == 1)
-    same = (F.col("worse") >= 0.9) & ((known & here) | ((F.col("vintage_far") == 0) & (F.col("amount_close") == 1)) | (F.col("identified") == 1))
+    same = (F.col("worse") >= 0.9) & ((known & here) | ((F.col("vintage_far") == 0) & (F.col("amount_close") == 1) & ((F.col("numbered") == 1) | (F.col("own_close") == 1))) | (F.col("identified") == 1))
     other = (F.col("worse") < 0.6) | ((F.col("vintage_far") == 1) & (F.col("own_close") == 0))
     return pairs.select(*FEATURES, "holding_id", F.when(same, 1).when(other, 0).alias("label")).where("label IS NOT NULL")
 
@@ -224,5 +229,6 @@ def matched(funds: DataFrame, holdings: DataFrame, commitments: DataFrame, inves
     pairs = cut(candidate_pairs(funds, holdings, commitments, investors, sources))
     p = probability(fit(weak_labels(pairs)))
     scored = pairs.withColumn("confidence", p).where((F.col("confidence") >= ACCEPT) & (F.col("worse") >= 0.55))
-    best = scored.groupBy("holding_id").agg(F.min(F.struct((-F.round("better", 2) - F.round("worse", 2)).alias("name"), "distance", "fund_id", "confidence")).alias("m"))
+    name, in_series = -F.round("better", 2) - F.round("worse", 2), F.when(F.col("numbered") == 0, -F.round("confidence", 9)).otherwise(0.0)
+    best = scored.groupBy("holding_id").agg(F.min(F.struct(name.alias("name"), in_series.alias("in_series"), "distance", "fund_id", "confidence")).alias("m"))
     return best.select("holding_id", F.col("m.fund_id").alias("fund_id"), F.col("m.confidence").alias("confidence"))

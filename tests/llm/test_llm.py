@@ -170,6 +170,21 @@ def test_matching(spark):
     assert matching.matched(f.limit(0), h.limit(0), c.limit(0), p.limit(0), d).count() == 0
 
 
+def test_a_name_without_a_number_may_be_any_fund_of_its_series(spark):
+    """By vintage where one is stated, by the holder's own position where not; the other funds of the series fit less."""
+    funds = [(f"f{n}", f"Kundziltir Nazomkeis Asia Fund {r}", None, 2000 + 3 * n, None) for n, r in enumerate(("I", "II", "III"), 1)]
+    facts = [(p, f"f{n}", 100.0 * n + k, 0.1, 1.5, D(2024, 12, 31)) for n in (1, 2, 3) for k, p in enumerate(("p0", "p1"))]
+    held = [(1, "Alpha Teachers", "Kundziltir Nazomkeis Asia Fund", 2006, 2e8), (2, "Alpha Teachers", "Nazomkeis Kundziltir As. Fd", None, 3e8), (3, None, "Kundziltir Nazomkeis Asia", 2003, None), (4, None, "Kundziltir Nazomkeis Asia Fund I", 2009, 3e8)]
+    f = spark.createDataFrame(funds, "id string, fund_name string, general_partner string, vintage_year int, fund_size_mm double")
+    h = spark.createDataFrame(held, "holding_id long, holder_name string, security_name string, vintage int, committed_usd double")
+    c = spark.createDataFrame(facts, "pension_fund_id string, fund_id string, commitment_mm double, net_irr double, net_multiple double, as_of_date date")
+    p = spark.createDataFrame([("p0", "Alpha", None), ("p1", "Omega", None)], "id string, name string, full_name string")
+    d = spark.createDataFrame([], "id string, pension_fund_id string, commitment_text string, net_irr_text string, unit_note string")
+    got = {r["holding_id"]: r["fund_id"] for r in matching.matched(f, h, c, p, d).collect()}
+    assert {k: got.get(k) for k in (1, 2, 3)} == {1: "f2", 2: "f3", 3: "f1"}
+    assert got.get(4, "f1") == "f1"
+
+
 def test_blocking_recall(spark):
     rng = random.Random(7)
     words = ["".join(rng.choice("abdegklmnorstuz") for _ in range(9)) for _ in range(30)]
