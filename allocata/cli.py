@@ -11,7 +11,7 @@ from allocata.operators import quality, relational
 from allocata.plans import catalog, metrics
 from allocata.session import local_session, table
 
-EXPORTS = ("fund_summary", "top_funds", "investor_pivot", "performance_by_vintage", "gp_leaderboard", "linked_comparison", "commitment_trends", "gp_penetration", "name_pattern_filter", "performance_band", "quota_sample")
+EXPORTS = ("fund_summary", "top_funds", "investor_pivot", "investor_matrix", "performance_by_vintage", "gp_leaderboard", "linked_comparison", "commitment_trends", "gp_penetration", "name_pattern_filter", "performance_band", "quota_sample")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -33,7 +33,7 @@ def cross_link_tiers(spark, sf_dir):
     return R.cross_link_tiers(_facts(spark, sf_dir))
 
 
-#: Investors that have a column in the matrix query (a fixed choice, as the result's columns must be known).
+#: Investors that have a column in `investor_pivot`, whose SQL names its columns; `investor_matrix` has one for every investor.
 PIVOT_INVESTORS = ["traxyaensa_trs", "stazeivold_pers", "rilweceirt_sib", "boubeixthu_mpt"]
 
 
@@ -41,6 +41,13 @@ def investor_pivot(spark, sf_dir):
     return R.investor_pivot(_star(spark, sf_dir), PIVOT_INVESTORS)
 
 
+def investor_matrix(spark, sf_dir):
+    """The matrix with a column for every investor that has commitments, as many as the data hold."""
+    held = table(spark, sf_dir, "pension_funds", "id").join(_facts(spark, sf_dir).select(F.col("pension_fund_id").alias("id")), "id", "left_semi")
+    # Column names must be known to plan the query, so the ids, one an investor, come to the driver.
+    return R.investor_pivot(_star(spark, sf_dir), sorted(r["id"] for r in held.distinct().collect()))
+
+
 def performance_by_vintage(spark, sf_dir):
     return R.performance_by_vintage(_facts(spark, sf_dir))
 
@@ -234,7 +241,7 @@ def method_matrix(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        fund_summary, top_funds, cross_link_tiers, investor_pivot, performance_by_vintage, vintage_having, gp_leaderboard, commitment_trends, gp_penetration, investor_overview, capital_flows,
+        fund_summary, top_funds, cross_link_tiers, investor_pivot, investor_matrix, performance_by_vintage, vintage_having, gp_leaderboard, commitment_trends, gp_penetration, investor_overview, capital_flows,
         strategy_having, strategy_histogram, widely_held, headline, global_stats, irr_quartiles, performance_band, name_pattern_filter, optional_filters, text_search, linked_comparison, unlinked_rows,
         left_join_lookup, alias_listing, latest_snapshot, last_non_null, top2_per_group, distinct_label, quota_sample, capped_selection, stratified_sample, reup_flag, best_score_match, spread_report,
         multiple_divergence, vintage_inconsistency, range_flags, low_completeness, ingest_flags, completeness, coverage_gap, orphan_commitments, status_counts, distinct_documents, method_matrix,
@@ -276,6 +283,10 @@ ORACLE = {
     "top_funds": f"SELECT * FROM ({_SUMMARY}) WHERE total_commitment_mm > 0 ORDER BY total_commitment_mm DESC, fund_id LIMIT 100",
     "cross_link_tiers": "SELECT count(*) AS funds, count(*) FILTER (n >= 2) AS held_by_2, count(*) FILTER (n >= 3) AS held_by_3, count(*) FILTER (n >= 4) AS held_by_4, count(*) FILTER (n >= 5) AS held_by_5 FROM (SELECT count(DISTINCT pension_fund_id) AS n FROM commitments GROUP BY fund_id)",
     "investor_pivot": f"SELECT c.fund_id, min(f.fund_name) AS fund_name, {_PIVOT}, count(DISTINCT c.pension_fund_id) AS investor_count, {_avg('c.net_irr')} AS avg_irr, {_avg('c.net_multiple')} AS avg_multiple FROM {_J} GROUP BY c.fund_id HAVING count(DISTINCT c.pension_fund_id) >= 2",
+    "investor_matrix": f"""
+WITH s AS (SELECT c.fund_id, min(f.fund_name) AS fund_name, count(DISTINCT c.pension_fund_id) AS investor_count, {_avg('c.net_irr')} AS avg_irr, {_avg('c.net_multiple')} AS avg_multiple FROM {_J} GROUP BY c.fund_id HAVING count(DISTINCT c.pension_fund_id) >= 2),
+m AS (PIVOT (SELECT c.fund_id, c.pension_fund_id || '_mm' AS investor, c.commitment_mm FROM commitments c JOIN pension_funds p ON c.pension_fund_id = p.id) ON investor USING max(commitment_mm) GROUP BY fund_id)
+SELECT * FROM s JOIN m USING (fund_id)""",
     "performance_by_vintage": f"SELECT vintage_year, count(*) AS n, {_avg('commitment_mm')} AS avg_commitment_mm, {_sum('commitment_mm')} AS total_commitment_mm, {_avg('net_irr')} AS avg_irr, {_avg('net_multiple')} AS avg_multiple, min(net_irr) AS min_irr, max(net_irr) AS max_irr, min(net_multiple) AS min_multiple, max(net_multiple) AS max_multiple FROM commitments WHERE vintage_year IS NOT NULL GROUP BY vintage_year",
     "vintage_having": f"SELECT vintage_year, count(*) AS n, {_avg('net_irr')} AS avg_irr, {_avg('net_multiple')} AS avg_multiple FROM commitments WHERE vintage_year >= 1995 GROUP BY vintage_year HAVING count(*) >= 5",
     "gp_leaderboard": f"SELECT f.general_partner_normalized AS gp, min(f.general_partner) AS general_partner, count(DISTINCT f.id) AS fund_count, count(DISTINCT c.pension_fund_id) AS investor_count, {_sum('c.commitment_mm')} AS total_commitment_mm, {_avg('c.net_irr')} AS avg_irr, {_avg('c.net_multiple')} AS avg_multiple, min(f.vintage_year) AS earliest_vintage, max(f.vintage_year) AS latest_vintage FROM {_J} WHERE f.general_partner IS NOT NULL AND f.general_partner <> '' GROUP BY f.general_partner_normalized ORDER BY total_commitment_mm DESC NULLS LAST, gp NULLS FIRST LIMIT 50",

@@ -48,6 +48,18 @@ def test_runs(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() >= 0
 
 
+@needs_data
+def test_matrix_has_every_investor_with_commitments(spark):
+    df = catalog.QUERIES["investor_matrix"](spark, SF)
+    _, held = second_engine("SELECT DISTINCT p.id FROM pension_funds p JOIN commitments c ON c.pension_fund_id = p.id")
+    assert {c for c in df.columns if c.endswith("_mm")} == {f"{i}_mm" for (i,) in held} and len(held) > 4
+    _, cells = second_engine("SELECT c.pension_fund_id AS a, c.fund_id AS b, max(c.commitment_mm) AS c FROM commitments c JOIN funds f ON c.fund_id = f.id JOIN pension_funds p ON c.pension_fund_id = p.id GROUP BY 1, 2 HAVING max(c.commitment_mm) IS NOT NULL")
+    rows = df.collect()
+    kept = {r["fund_id"] for r in rows}
+    got = sorted((i, r["fund_id"], cell(r[f"{i}_mm"])) for r in rows for (i,) in held if r[f"{i}_mm"] is not None)
+    assert got and got == [x for x in cells if x[1] in kept]
+
+
 def test_every_oracle_has_a_query():
     assert set(catalog.ORACLE) <= set(catalog.QUERIES) and catalog.FLAGSHIP in catalog.QUERIES
 
