@@ -140,6 +140,22 @@ def test_quality_model_finds_the_good_source(spark):
     assert survivors.fused_fields(df.limit(0), fields).count() == 0
 
 
+def test_fused_record_has_every_field(spark):
+    """Undisputed values, values beside nulls, single records and text fields are in the record too, with one best value each."""
+    schema = RECORD.replace("quarter string, rank int", "vintage_year int, dpi double, status string")
+    q = D(2023, 6, 30)
+    rows = [
+        ("a", "p", "many", q, 0.9, T0, "m", 1.0, None, 2004, 0.5, "active"), ("b", "p", "many", q, 0.9, T0, "m", 1.0, 0.1, 2004, 0.7, "active"), ("c", "p", "many", q, 0.9, T0, "m", 1.0, None, None, None, "liquidated"),
+        ("d", "p", "one", q, 0.9, T0, "m", 3.0, 0.2, None, None, None),
+    ]
+    fields = ("commitment_mm", "net_irr", "vintage_year", "dpi", "status")
+    got = survivors.fused_fields(spark.createDataFrame(rows, schema), fields).collect()
+    best = {(r["fund_id"], r["field"]): r["value"] if r["text"] is None else r["text"] for r in got if r["is_best"]}
+    assert len(best) == sum(r["is_best"] for r in got)
+    assert best == {("many", "commitment_mm"): 1.0, ("many", "net_irr"): 0.1, ("many", "vintage_year"): 2004.0, ("many", "dpi"): 0.5, ("many", "status"): "active", ("one", "commitment_mm"): 3.0, ("one", "net_irr"): 0.2}
+    assert {"vintage_year", "dpi", "status", "net_multiple"} <= set(survivors.FIELDS)
+
+
 # ---- p3
 
 
