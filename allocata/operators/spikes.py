@@ -11,7 +11,8 @@ The readings are dated by quarter, so there is no hour of day to bucket by; `con
 
 Defined results: nulls are no readings and break a run; NaN is `impossible`; undated rows are judged by range but
 belong to no run; repeated rows of a snapshot count once for a run and are all reported; a source whose quartiles
-coincide has fences of that one value only if nothing else was ever reported, so it reports no spikes; empty tables have none.
+coincide (more than half of its readings are one value) has the fences of its other readings, widened to hold that value; where
+those coincide too, or there are none, it reports no spikes; empty tables have none.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allocata.operators.ranking import quarter
+from allocata.session import cut
 
 FIELDS = ("net_irr", "net_multiple")
 
@@ -39,13 +41,27 @@ def readings(commitments: DataFrame, rate_units: DataFrame | None = None) -> Dat
 
 
 def fences(rows: DataFrame, value: str = "value", context: tuple[str, ...] = (), fence: float = 4.0, accuracy: int = 2000) -> DataFrame:
-    """(source, field, context..., low, high): interquartile fences per source from merged quantile sketches."""
-    q = F.percentile_approx(F.when(~F.isnan(value), F.col(value)), [0.25, 0.75], accuracy)
-    spread = F.col("q")[1] - F.col("q")[0]
-    return rows.groupBy("source", "field", *context).agg(q.alias("q")).select(
-        "source", "field", *context,
-        F.when(spread > 0, F.col("q")[0] - fence * spread).alias("low"),
-        F.when(spread > 0, F.col("q")[1] + fence * spread).alias("high"),
+    """(source, field, context..., low, high): interquartile fences per source from merged quantile sketches.
+
+    Where the quartiles coincide, the fences come from the readings that differ from that value.
+    """
+    group = ["source", "field", *context]
+    x = F.when(~F.isnan(value), F.col(value))
+
+    def quartiles(of: DataFrame) -> DataFrame:
+        return of.groupBy(*group).agg(F.percentile_approx(x, [0.25, 0.75], accuracy).alias("q"))
+
+    # One row a source and field from here on.
+    first = cut(quartiles(rows))
+    low, high = F.col("q")[0], F.col("q")[1]
+    same = first.where(low == high).select(*group, low.alias("usual"))
+    if same.isEmpty():
+        return first.select(*group, (low - fence * (high - low)).alias("low"), (high + fence * (high - low)).alias("high"))
+    other = quartiles(rows.join(same, group).where(F.col(value) != F.col("usual"))).withColumnRenamed("q", "o")
+    a, b = F.coalesce(F.when(low == high, F.col("o")[0]), low), F.coalesce(F.when(low == high, F.col("o")[1]), high)
+    spread = b - a
+    return first.join(other, group, "left").select(
+        *group, F.when(spread > 0, F.least(a - fence * spread, low)).alias("low"), F.when(spread > 0, F.greatest(b + fence * spread, high)).alias("high"),
     )
 
 

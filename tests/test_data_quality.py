@@ -137,3 +137,10 @@ def test_spikes(spark):
     percent = spark.createDataFrame([("p", "percent")], "source string, rate_unit string")
     assert ("lost", "net_irr") in {(r["id"], r["field"]) for r in spikes.implausible(c, percent).where("is_spike AND NOT is_impossible").collect()}
     assert spikes.implausible(c.limit(0)).count() == 0 and spikes.jumps(c.limit(0)).count() == 0
+
+
+def test_spikes_of_a_source_with_one_usual_value(spark):
+    rows = [(f"usual{i}", "p", f"f{i}", 1.0, 0.1, None, None, 0.0, "", "") for i in range(120)]
+    rows += [(f"other{i}", "p", f"g{i}", 1.0, 0.12 + i / 1000, None, None, 0.0, "", "") for i in range(30)]
+    rows += [("spike", "p", "s", 1.0, 5.0, None, None, 0.0, "", "")] + [(f"flat{i}", "q", f"h{i}", 1.0, 0.2, None, None, 0.0, "", "") for i in range(9)]
+    assert {r["id"] for r in spikes.implausible(spark.createDataFrame(rows, FACT)).collect()} == {"spike"}
