@@ -33,8 +33,9 @@ def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated, load = _loads(table(spark, sf_dir, "commitments", "extraction_method", "as_of_date", "status", "source_url", *SHIFT_COLUMNS))
-    masks = profile.mask_counts(profile.value_counts(dated, load, ("status", "source_url", *SHIFT_COLUMNS)), LOAD)
+    commitments = table(spark, sf_dir, "commitments")
+    dated, load = _loads(commitments)
+    masks = profile.mask_counts(profile.value_counts(dated, load, [c for c in commitments.columns if c != "extraction_method"]), LOAD)
     return profile.mask_divergence(masks, "method", "quarter").withColumnRenamed("method", "extraction_method")
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from allocata.operators import profile, snapshots, spikes, units
 from allocata.operators.ranking import quarter
+from allocata.plans import data_quality
+from tests.conftest import DATA, needs_data
 
 D = dt.date
 T0 = dt.datetime(2024, 1, 1)
@@ -144,3 +146,10 @@ def test_spikes_of_a_source_with_one_usual_value(spark):
     rows += [(f"other{i}", "p", f"g{i}", 1.0, 0.12 + i / 1000, None, None, 0.0, "", "") for i in range(30)]
     rows += [("spike", "p", "s", 1.0, 5.0, None, None, 0.0, "", "")] + [(f"flat{i}", "q", f"h{i}", 1.0, 0.2, None, None, 0.0, "", "") for i in range(9)]
     assert {r["id"] for r in spikes.implausible(spark.createDataFrame(rows, FACT)).collect()} == {"spike"}
+
+
+@needs_data
+def test_divergence_of_every_profiled_column(spark):
+    sf = f"{DATA}/sf0.001"
+    divergence, whole = (data_quality.QUERIES[q](spark, sf).select("column_name").distinct().collect() for q in ("p4_divergence", "p4_profile"))
+    assert {r[0] for r in divergence} == {r[0] for r in whole} and len(whole) == 20
