@@ -13,11 +13,20 @@ ABBREVIATIONS = {"Fd": "Fund", "Prtrs": "Partners", "Ptnrs": "Partners", "Cap":
 FIRM_ENDINGS = (r",?\s*LLC$", r",?\s*Ltd\.?$", r",?\s*Inc\.?$", r",?\s*L\.?P\.?$")
 ROMAN = "I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX XX XXI XXII XXIII XXIV XXV".split()
 BEFORE_ONE = ("fund", "partners", "capital", "equity", "ventures", "opportunities", "growth", "credit", "europe", "asia", "evergreen", "springblue")
+# Words that many fund names share; what is left of a name tells funds apart.
 GENERIC_TOKENS = (
-    "fund capital partners partner investment investments equity ventures venture credit group management global international opportunities special situations "
-    "growth buyout real estate infrastructure the of and new north south east west i ii iii iv v vi vii viii ix x xi xii xiii xiv xv xvi xvii xviii a b c d e lp llc ltd inc co "
-    "no no. series coinvestment co-investment scsp te us u.s. europe asia america americas latin pacific"
-).split()
+    "fund", "capital", "partners", "partner", "investment", "investments",
+    "equity", "ventures", "venture", "credit", "group", "management",
+    "global", "international", "opportunities", "special", "situations",
+    "growth", "buyout", "real", "estate", "infrastructure", "the",
+    "of", "and", "new", "north", "south", "east", "west",
+    "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x",
+    "xi", "xii", "xiii", "xiv", "xv", "xvi", "xvii", "xviii",
+    "a", "b", "c", "d", "e", "lp", "llc", "ltd", "inc", "co",
+    "no", "no.", "series", "coinvestment", "co-investment",
+    "scsp", "te", "us", "u.s.", "europe", "asia",
+    "america", "americas", "latin", "pacific",
+)
 STRATEGY_TOKENS = ("credit", "asia", "europe", "latin", "real", "infrastructure")
 # Fixed values: (words, asset class, strategy), the first that a name holds decides.
 STRATEGY_RULES = (
@@ -26,9 +35,9 @@ STRATEGY_RULES = (
     (("natural resource", "timber", "mining", "oil ", "gas "), "Real Assets", "Natural Resources"),
     (("energy",), "Private Equity", "Energy"),
     (("fund of funds", "pathway"), "Private Equity", "Fund of Funds"),
-    (("secondar",), "Private Equity", "Secondaries"),
+    (("secondar", "secondary"), "Private Equity", "Secondaries"),
     (("co-invest", "coinvest", "co invest"), "Private Equity", "Co-Investment"),
-    (("credit", "debt", "loan", "lending", "mezz"), "Private Credit", "Credit"),
+    (("credit", "debt", "loan", "lending", "mezzanine", "mezz"), "Private Credit", "Credit"),
     (("distress", "special situation", "turnaround", "recovery", "rescue"), "Private Equity", "Distressed/Special Situations"),
     (("venture", "seed", "early stage", "early-stage"), "Private Equity", "Venture Capital"),
     (("growth",), "Private Equity", "Growth Equity"),
@@ -37,12 +46,58 @@ STRATEGY_RULES = (
 )
 # Endings of a fund's name that are no part of the manager's, in this order.
 FUND_ENDINGS = (
-    "Limited Partnership|Capital Partners|Private Equity|Investment Fund|Equity Partners|Venture Partners|Growth Equity Fund|Growth Equity|Growth Fund|Buyout Fund|Buyout Partners|"
-    "Strategic Partners|Tactical Opportunities Fund|Tactical Opportunities|Special Situations|Real Estate Fund|Real Estate Partners|Real Estate|Infrastructure Partners|Infrastructure Fund|"
-    "Infrastructure|Energy Partners|Energy Fund|Credit Opportunities|Credit Partners|Credit Fund|Opportunities Fund|Opportunities|Capital Fund|Capital Appreciation Fund|Global Fund|"
-    "Co-Investment|Coinvestment|Co-Invest|Compounding Capital|Strategic Opportunities|Secondary Purchase|Partners|Capital|Fund|Investors|Ventures|GPE|SCSp|Cooperatief U.A.|Cooperatief|"
-    "L.P.|LP|LLC|Ltd|Inc"
-).split("|")
+    "Limited Partnership",
+    "Capital Partners",
+    "Private Equity",
+    "Investment Fund",
+    "Equity Partners",
+    "Venture Partners",
+    "Growth Equity Fund",
+    "Growth Equity",
+    "Growth Fund",
+    "Buyout Fund",
+    "Buyout Partners",
+    "Strategic Partners",
+    "Tactical Opportunities Fund",
+    "Tactical Opportunities",
+    "Special Situations",
+    "Real Estate Fund",
+    "Real Estate Partners",
+    "Real Estate",
+    "Infrastructure Partners",
+    "Infrastructure Fund",
+    "Infrastructure",
+    "Energy Partners",
+    "Energy Fund",
+    "Credit Opportunities",
+    "Credit Partners",
+    "Credit Fund",
+    "Opportunities Fund",
+    "Opportunities",
+    "Capital Fund",
+    "Capital Appreciation Fund",
+    "Global Fund",
+    "Co-Investment",
+    "Coinvestment",
+    "Co-Invest",
+    "Compounding Capital",
+    "Strategic Opportunities",
+    "Secondary Purchase",
+    "Partners",
+    "Capital",
+    "Fund",
+    "Investors",
+    "Ventures",
+    "GPE",
+    "SCSp",
+    "Cooperatief U.A.",
+    "Cooperatief",
+    "L.P.",
+    "LP",
+    "LLC",
+    "Ltd",
+    "Inc",
+)
 
 
 def _squeeze(c: Column) -> Column:
@@ -126,8 +181,12 @@ def family_name(name: Column) -> Column:
     return F.when(s == "", name).otherwise(s)
 
 
-def strategy_class(name: Column, defaults: dict[str, tuple[str, str]] | None = None) -> Column:
-    """Struct (asset_class, sub_strategy): first keyword rule the name fulfils, else the manager's default, else private equity."""
+def strategy_class(name: Column, defaults: dict[str, tuple[str, str]] | None = None, managers: list[str] | None = None) -> Column:
+    """Struct (asset_class, sub_strategy): first keyword rule the name fulfils, else the default of its manager, else private equity.
+
+    The manager is the one that `manager_from_name` finds among all `managers`; a longer one without a default hides a
+    shorter one that has a default.
+    """
     low = F.lower(name)
 
     def pair(asset: str, strategy: str | None) -> Column:
@@ -135,7 +194,7 @@ def strategy_class(name: Column, defaults: dict[str, tuple[str, str]] | None = N
 
     out = pair("Private Equity", None)
     if defaults:
-        manager = F.lower(known_manager(name, list(defaults)))
+        manager = F.lower(manager_from_name(name, managers or list(defaults)))
         by_manager = F.create_map(*[x for k, v in defaults.items() for x in (F.lit(k.lower()), pair(*v))])
         out = F.coalesce(F.try_element_at(by_manager, manager), out)
     for ws, asset, strategy in reversed(STRATEGY_RULES):

@@ -83,7 +83,7 @@ class Pipeline:
             F.lit(ident).alias("pension_fund_id"), *[c for c in arrived.columns if c not in ("arrival", "general_partner")], "general_partner", "fund_key", "match_type", F.lit(now).alias("created_at"), F.lit(now).alias("updated_at"),
         ))
         new = rows.where("match_type = 'new'").groupBy("fund_key").agg(F.min_by(F.struct("fund_name_raw", "general_partner", "vintage_year"), "fund_name_raw").alias("f")).select("fund_key", "f.*")
-        named = new.withColumn("s", strategy_class(F.col("fund_name_raw"), DEFAULT_STRATEGY)).select(
+        named = new.withColumn("s", strategy_class(F.col("fund_name_raw"), DEFAULT_STRATEGY, KNOWN_MANAGERS)).select(
             "fund_key", normalized_name(F.col("fund_name_raw")).alias("fund_name"), "fund_name_raw", F.coalesce("general_partner", manager_from_name(normalized_name(F.col("fund_name_raw")), KNOWN_MANAGERS)).alias("general_partner"),
             "vintage_year", "s.asset_class", "s.sub_strategy", F.lit(now).alias("created_at"),
         )

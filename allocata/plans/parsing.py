@@ -54,7 +54,7 @@ def fund_numerals(spark, sf_dir):
 
 
 def classify_strategy(spark, sf_dir):
-    return table(spark, sf_dir, "funds", "id", "fund_name_raw").select("id", N.strategy_class(F.col("fund_name_raw"), DEFAULT_STRATEGY).alias("s")).select("id", "s.*")
+    return table(spark, sf_dir, "funds", "id", "fund_name_raw").select("id", N.strategy_class(F.col("fund_name_raw"), DEFAULT_STRATEGY, KNOWN_MANAGERS).alias("s")).select("id", "s.*")
 
 
 def extract_gp(spark, sf_dir):
@@ -164,10 +164,23 @@ _FIRM = f"lower(trim(regexp_replace({_FIRM}, '\\s+', ' ', 'g')))"
 _FAMILY = "trim(regexp_replace(fund_name, '(?i),?\\s*(L\\.?P\\.?\\d?|LLC|Ltd|SCSp|S\\.C\\.Sp\\.?|Cooperatief U\\.A\\.?)$', ''))"
 for _p in (r"\s+(Fund\s+)?[IVXLC]+(-[A-Z0-9]+)?(\s+\(.*\))?\s*$", r"\s+Fund\s*$", r"\s+\d{4}\s*$", r"\s+[A-D]\s*$"):
     _FAMILY = f"trim(regexp_replace({_FAMILY}, '{_p}', ''))"
-_MANAGER = "CASE " + " ".join(f"WHEN contains(low, '{m.lower()}') THEN {i}" for i, m in sorted(enumerate(DEFAULT_STRATEGY), key=lambda im: (-len(im[1]), im[0]))).replace("''", "'") + " END"
-_PAIRS = list(DEFAULT_STRATEGY.values())
+_Q = lambda x: "'" + x.replace("'", "''") + "'"
+_FIRST = {m.lower(): (i, m) for i, m in reversed(list(enumerate(KNOWN_MANAGERS)))}
+_KNOWN = "CASE " + " ".join(f"WHEN contains(low, {_Q(k)}) THEN {_Q(next(m for m in reversed(KNOWN_MANAGERS) if m.lower() == k))}" for k, _ in sorted(_FIRST.items(), key=lambda e: (-len(e[0]), e[1][0]))) + " END"
+_LEFT = "trim(fund_name_raw)"
+for _p in (r",?\s*L\.?P\.?\s*$", r",?\s*LLC\s*$", r",?\s*Ltd\.?\s*$", r",?\s*Inc\.?\s*$", r",?\s*SCSp\s*$", r",?\s*Cooperatief\s*U\.?A\.?\s*$"):
+    _LEFT = f"regexp_replace({_LEFT}, {_Q('(?i)' + _p)}, '')"
+_LEFT = f"regexp_replace({_LEFT}, '\\s*\\([^)]*\\)\\s*', ' ', 'g')"
+for _p in (r"\s*[-–]\s*[A-E]\s*$", r"\s+'[A-E]'\s*$", r"\s+[A-E]\s*$"):
+    _LEFT = f"regexp_replace({_LEFT}, {_Q(_p)}, '')"
+_LEFT = f"regexp_replace({_LEFT}, '(?i)\\b(" + "|".join(reversed(N.ROMAN)) + ")\\b', '', 'g')"
+_LEFT = f"regexp_replace({_LEFT}, '\\s+\\d+\\.?\\d*\\s*$', '')"
+for _e in N.FUND_ENDINGS:
+    _LEFT = f"regexp_replace({_LEFT}, {_Q('(?i)' + chr(92) + 's+' + _e.replace('.', chr(92) + '.') + chr(92) + 's*$')}, '')"
+_LEFT = f"trim(regexp_replace(regexp_replace({_LEFT}, '[\\s,\\-–]+$', ''), '\\s+', ' ', 'g'))"
+_GP = f"SELECT id, low, coalesce({_KNOWN}, CASE WHEN length(rest) >= 2 AND NOT regexp_matches(rest, '^[\\d ]+$') THEN rest END) AS gp FROM (SELECT id, lower(fund_name_raw) AS low, {_LEFT} AS rest FROM funds)"
 _CLASS = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(low, '{w}')" for w in ws) + f" THEN '{a}|{s}'" for ws, a, s in N.STRATEGY_RULES)
-_CLASS += " ELSE CASE (" + _MANAGER + ") " + " ".join(f"WHEN {i} THEN '{a}|{s}'" for i, (a, s) in enumerate(_PAIRS)) + " ELSE 'Private Equity|' END END"
+_CLASS += " ELSE CASE lower(gp) " + " ".join(f"WHEN {_Q(m.lower())} THEN '{a}|{s}'" for m, (a, s) in DEFAULT_STRATEGY.items()) + " ELSE 'Private Equity|' END END"
 _GENERIC = ", ".join(f"'{x}'" for x in N.GENERIC_TOKENS)
 
 
@@ -197,7 +210,8 @@ WITH t AS (SELECT id, regexp_split_to_array(trim(fund_name_raw), '[\\s,\\-''"()]
 v AS (SELECT id, upper(regexp_replace(ts[i], '\\.+$', '')) AS r, CASE WHEN i > 1 THEN lower(ts[i - 1]) ELSE '' END AS b FROM u),
 w AS (SELECT id, list_position([{_ROMAN}], r) AS n FROM v WHERE NOT (r = 'I' AND regexp_replace(b, '[.,]+$', '') NOT IN ({_ONE})) AND NOT (r = 'V' AND ends_with(b, 'v')))
 SELECT f.id, [{_ROMAN}][max(w.n)] AS number FROM funds f LEFT JOIN w ON f.id = w.id AND w.n > 0 GROUP BY f.id""",
-    "classify_strategy": f"SELECT id, string_split(c, '|')[1] AS asset_class, nullif(string_split(c, '|')[2], '') AS sub_strategy FROM (SELECT id, {_CLASS} AS c FROM (SELECT id, lower(fund_name_raw) AS low FROM funds))",
+    "classify_strategy": f"SELECT id, string_split(c, '|')[1] AS asset_class, nullif(string_split(c, '|')[2], '') AS sub_strategy FROM (SELECT id, {_CLASS} AS c FROM ({_GP}))",
+    "extract_gp": f"SELECT id, gp FROM ({_GP})",
     "family_names": f"SELECT id, CASE WHEN {_FAMILY} = '' THEN fund_name ELSE {_FAMILY} END AS family FROM funds",
     "token_jaccard": f"SELECT id, CAST(len(list_intersect(a, b)) AS BIGINT) AS common, CAST(len(list_distinct(list_concat(a, b))) AS BIGINT) AS union_size FROM (SELECT id, {_tokens('fund_name_raw')} AS a, {_tokens('general_partner')} AS b FROM funds WHERE general_partner IS NOT NULL)",
     "derived_metrics": "SELECT id, capital_distributed_mm + remaining_value_mm AS total_value_mm, (capital_distributed_mm + remaining_value_mm) - capital_distributed_mm AS remaining_mm, CASE WHEN capital_called_mm > 0 THEN (capital_distributed_mm + remaining_value_mm) / capital_called_mm END AS multiple, coalesce(dpi, CASE WHEN capital_called_mm > 0 THEN capital_distributed_mm / capital_called_mm END) AS dpi FROM commitments",

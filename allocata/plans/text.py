@@ -81,10 +81,7 @@ def stream_windows(spark, sf_dir):
 
 
 def document_systems(spark, sf_dir):
-    head = F.substring("text", 1, 3000)
-    from allocata.functions.parsers import first_match
-
-    return _documents(spark, sf_dir).where("text IS NOT NULL").groupBy(first_match(head, T.SYSTEMS, "Unknown").alias("system")).agg(F.count(F.lit(1)).alias("n"))
+    return _documents(spark, sf_dir).where("text IS NOT NULL").groupBy(T.system_of(F.col("text")).alias("system")).agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES = {f.__name__: f for f in (board_events, section_spans, attendance, meeting_dates, event_patterns, motion_outcomes, sentiment, numbered_lines, layout_rows, json_props, stream_windows, document_systems)}

@@ -7,10 +7,36 @@ from pyspark.sql import functions as F
 
 # Friendly headers of exported columns.
 HEADERS = {
-    "fund_name": "Fund Name", "general_partner": "General Partner", "vintage_year": "Vintage Year", "asset_class": "Asset Class", "sub_strategy": "Strategy", "investor": "Investor", "state": "State",
-    "commitment_mm": "Commitment ($M)", "capital_called_mm": "Capital Called ($M)", "capital_distributed_mm": "Capital Distributed ($M)", "remaining_value_mm": "Remaining Value ($M)",
-    "net_irr": "Net IRR", "net_multiple": "Net Multiple", "as_of_date": "As-of Date", "total_commitment_mm": "Total Commitment ($M)", "avg_irr": "Avg Net IRR", "avg_multiple": "Avg Net Multiple",
-}
+    "fund_name": "Fund Name",
+    "general_partner": "General Partner",
+    "vintage_year": "Vintage Year",
+    "asset_class": "Asset Class",
+    "sub_strategy": "Sub-Strategy",
+    "pension_fund": "Pension Fund",
+    "pension_fund_name": "Pension Fund",
+    "pension_fund_state": "State",
+    "commitment_mm": "Commitment ($M)",
+    "capital_called_mm": "Capital Called ($M)",
+    "capital_distributed_mm": "Distributions ($M)",
+    "remaining_value_mm": "Remaining Value ($M)",
+    "net_irr": "Net IRR (%)",
+    "net_multiple": "Net Multiple (x)",
+    "dpi": "DPI (x)",
+    "as_of_date": "As-Of Date",
+    "source_url": "Source URL",
+    "source_document": "Source Document",
+    "extraction_method": "Extraction Method",
+    "extraction_confidence": "Confidence",
+    "pension_count": "# Pension Systems",
+    "pensions": "Pension Systems",
+    "total_commitment_mm": "Total Commitment ($M)",
+    "avg_irr": "Avg Net IRR (%)",
+    "avg_multiple": "Avg Net Multiple (x)",
+    "avg_commitment_mm": "Avg Commitment ($M)",
+    "fund_count": "# Funds",
+    "earliest_vintage": "Earliest Vintage",
+    "latest_vintage": "Latest Vintage",
+}
 DISCLOSED_ONLY = ("capital_called_mm", "capital_distributed_mm", "remaining_value_mm", "net_irr", "net_multiple", "dpi")
 
 

@@ -34,6 +34,9 @@ def test_managers_and_strategy(spark):
     assert len({m.lower() for m in KNOWN_MANAGERS}) == 186
     pairs = run(spark, N.strategy_class(F.col("v"), DEFAULT_STRATEGY), ["ABC Real Estate Growth", "Sequoia Fund IX", "Nobody LP", "Ares Fund", "A Energy Fund", "Opportunities One"])
     assert [tuple(p) for p in pairs] == [("Real Assets", "Real Estate"), ("Private Equity", "Venture Capital"), ("Private Equity", None), ("Private Credit", "Credit"), ("Private Equity", "Energy"), ("Private Equity", "Opportunistic")]
+    hidden = run(spark, N.strategy_class(F.col("v"), DEFAULT_STRATEGY, KNOWN_MANAGERS), ["Hg Capital 8", "Kelso & Company X", "Kelso X", "Vista  Equity II", "Sequoia Fund IX", None])
+    assert [tuple(p) for p in hidden] == [("Private Equity", None), ("Private Equity", None), ("Private Equity", "Buyout"), ("Private Equity", "Buyout"), ("Private Equity", "Venture Capital"), ("Private Equity", None)]
+    assert run(spark, N.manager_from_name(F.col("v"), ["Abcd", "Wxyz"]), ["Wxyz Abcd Fund"]) == run(spark, N.manager_from_name(F.col("v"), ["Abcd", "Wxyz"]), ["Abcd Wxyz Fund"]) == ["Abcd"]
     assert run(spark, N.family_name(F.col("v")), ["KKR North America Fund XI", "TPG Growth III, L.P.", "KKR 2006 Fund", "Fund I", ""]) == ["KKR North America", "TPG Growth", "KKR", "Fund", ""]
 
 

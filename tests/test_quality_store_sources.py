@@ -172,14 +172,53 @@ def test_events(spark):
     assert "Document 1" in sinks.meeting_report(T.events(docs))
 
 
+def test_event_details(spark):
+    """Every rule, its windows, vetoes and bounds; the dated list counts in its own system or where none is asked for."""
+
+    def found(text, system=""):
+        return {(e[2], *(e[4].get(k) for k in ("person", "fund_name", "outcome", "dissenter", "action", "policy", "return_pct"))) for e in T.document_events("CALL TO ORDER\n" + text, system)}
+
+    dated = "November 18th Willamette Partners II, L.P. $250M USD\nMay 3 Tiny Fund $900K"
+    assert found(dated, "Oregon") == found(dated) == {("investment_commitment", None, "Willamette Partners II, L.P.", None, None, None, None, None)}
+    assert found(dated, "WSIB") == found(dated, "Unknown") == set()
+    vote = "Ann Lee moved that the Board approve the plan. The motion carried with Pat Poe opposed."
+    assert ("motion", None, None, "carried_with_dissent", "Pat Poe", "approve the plan.", None, None) in found(vote)
+    assert ("motion", None, None, "unknown", "", "approve the plan.", None, None) in found("Ann Lee moved that the Board approve the plan." + " " * 900 + "motion carried")
+    people = "Ann Lee was elected Vice Chair\nBoard appoint Bob Ray to the Audit Committee\nCy Fox be removed from the Audit Committee\nDi Gow, Outgoing Chair\nEd Hay, OUTGOING CHAIR"
+    assert {(p, a) for _, p, _, _, _, a, _, _ in found(people)} >= {("Ann Lee", "elected"), ("Bob Ray", "appointed"), ("Cy Fox", "removed"), ("Di Gow", "outgoing"), ("Ed Hay", "incoming")}
+    assert ("dissent", "Treasurer Pat Poe", None, None, None, None, None, None) in found("Treasurer Pat Poe voted no")
+    assert found("The proxy voting report. Treasurer Pat Poe voted no") == set() == found("PROXY VOTING\nx" + " y" * 300 + "\nTreasurer Pat Poe voted no")
+    assert {e[-1] for e in found("The fund returned 7. percent for the year, net.")} == {"7.0"}
+    cut = "Committee commit up to $2 billion in"
+    assert [e[0] for e in T.document_events(f"Board {cut} Alpha Fund II\nADJOURN")] == ["full_document"]
+    assert [e[0] for e in T.document_events(f"CALL TO ORDER\nBoard {cut} Alpha Fund II")] == ["CALL TO ORDER"]
+    assert T.document_events("") == [] and T.sections("plain") == []
+
+
+def test_no_event_is_lost_by_the_filter(spark):
+    """What the JVM side lets pass is all that has events; rosters are read without Python."""
+    parts = [
+        "CALL TO ORDER", "Board invest up to $5 million in Alpha Fund II", "Board select Beta as a global equity manager", "Ann\u00a0moved that\u2003the Board adopt it.", "Ann was ELECTED Chair", "It returned 7. percent", "AUM of $3 B",
+        "Board approve the investment policy of the year as presented", "Mr. Poe voted against", "Many public commenters urged everybody to think about it again. Then", "May 3 Gamma Fund $9M", "Board appoint Bo to the Audit Committee", "Di, Incoming Chair", "nothing",
+    ]
+    docs = spark.createDataFrame([(i, "CALL TO ORDER\n" + p) for i, p in enumerate(parts)] + [(99, "Consultants Present: Callan, Meketa Group, X")], "doc_id long, text string")
+    plain = {i for i, p in enumerate(parts) if T.document_events("CALL TO ORDER\n" + p, "Oregon")}
+    got = {r["doc_id"] for r in T.events(docs.withColumn("text", F.concat("text", F.lit("\nOPERF")))).collect()}
+    assert got == plain == set(range(1, 13))
+    assert [(r["n"], r["name"], r["role"]) for r in T.attendance(docs).orderBy("n").collect()] == [(0, "Callan", "consultant"), (1, "Meketa Group", "consultant")]
+    totals = {r["doc_id"]: r for r in T.meeting_totals(T.events(docs)).collect()}
+    assert totals[1]["committed_mm"] == 5.0 and totals[1]["n_commitments"] == 1 and totals[3]["committed_mm"] == 0.0
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("A", 0.123, 1234.5, 1.5), ("B", None, None, None)], "fund_name string, net_irr double, commitment_mm double, net_multiple double")
     shown = sinks.formatted(df, rates=("net_irr",), amounts=("commitment_mm",), multiples=("net_multiple",))
-    assert shown.columns == ["Fund Name", "Net IRR", "Commitment ($M)", "Net Multiple"]
+    assert shown.columns == ["Fund Name", "Net IRR (%)", "Commitment ($M)", "Net Multiple (x)"]
+    assert len(sinks.HEADERS) == 29 and sinks.HEADERS["sub_strategy"] == "Sub-Strategy" and sinks.HEADERS["capital_distributed_mm"] == "Distributions ($M)" and sinks.HEADERS["as_of_date"] == "As-Of Date"
     assert [tuple(r) for r in shown.collect()] == [("A", "12.3%", "1,234.5", "1.50x"), ("B", None, None, None)]
     sinks.write_csv(shown.limit(0), str(tmp_path / "empty"))
     part = next(p for p in os.listdir(tmp_path / "empty") if p.endswith(".csv"))
-    assert (tmp_path / "empty" / part).read_text().startswith("Fund Name,Net IRR")
+    assert (tmp_path / "empty" / part).read_text().startswith("Fund Name,Net IRR (%)")
     assert sinks.not_disclosed(df).where("net_irr = 'N/D'").count() == 1
     assert sinks.markdown_table(df, "T").count("|") == 20
     sinks.write_json(df, str(tmp_path / "json"))
