@@ -36,8 +36,14 @@ SHARED_WORDS = {
 }
 SPELLING = {w: k for k, ws in SHARED_WORDS.items() for w in ws.split()}
 STRATEGIES = ("credit", "real", "asia", "europe", "growth", "energy", "infrastructure", "secondaries", "ventures", "opportunities", "capital")
-ROMAN = "i ii iii iv v vi vii viii ix x xi xii xiii xiv xv xvi xvii xviii xix xx xxi xxii xxiii xxiv xxv".split()
-NUMERAL = {r: i for i, r in enumerate(ROMAN, 1)} | {str(i): i for i in range(1, 100)} | {f"{i:02d}": i for i in range(1, 10)}
+
+
+def _roman(n: int) -> str:
+    return "x" * (n // 10) + ("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix")[n % 10]
+
+
+#: Roman numbers to XXXIX (beyond, the letters l, c, d and m make words); Arabic ones are numbers of up to three digits, longer ones are years.
+NUMERAL = {_roman(n): n for n in range(1, 40)}
 
 
 def words(name: Column) -> Column:
@@ -50,8 +56,7 @@ def _lookup(mapping: dict) -> Column:
 
 def distinctive(tokens: Column) -> Column:
     """Words that are neither shared nor a number."""
-    shared, number = list(SPELLING), list(NUMERAL)
-    return F.filter(tokens, lambda t: ~t.isin(*shared, *number) & (F.length(t) > 1) & ~t.rlike(r"^\p{N}+$"))
+    return F.filter(tokens, lambda t: ~t.isin(*SPELLING, *NUMERAL) & (F.length(t) > 1) & ~t.rlike(r"^\p{N}+$"))
 
 
 def strategy(tokens: Column) -> Column:
@@ -63,16 +68,21 @@ def strategy(tokens: Column) -> Column:
     return out
 
 
-def series_number(tokens: Column) -> Column:
-    """The largest numeral in the name; a name without one is the first of its series."""
+def stated_number(tokens: Column) -> Column:
+    """The largest number in the name; null if it states none."""
     m = _lookup(NUMERAL)
-    return F.coalesce(F.array_max(F.transform(tokens, lambda t: F.try_element_at(m, t))), F.lit(1))
+    return F.array_max(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(m, t), F.when(t.rlike(r"^[0-9]{1,3}$"), t.try_cast("int")))))
+
+
+def series_number(tokens: Column) -> Column:
+    """The number in the series; a registered name without one is the first of its series."""
+    return F.coalesce(stated_number(tokens), F.lit(1))
 
 
 def core(tokens: Column) -> Column:
     """The distinctive part as (a, b): first word, the rest joined; b is empty for a single word; null if there is none."""
     d = distinctive(tokens)
-    return F.when(F.size(d) > 0, F.struct(d[0].alias("a"), F.array_join(F.slice(d, 2, 20), "").alias("b")))
+    return F.when(F.size(d) > 0, F.struct(d[0].alias("a"), F.array_join(F.slice(d, 2, F.size(d)), "").alias("b")))
 
 
 def skeleton(word: Column) -> Column:

@@ -2,10 +2,9 @@
 
 Two levels, both joins:
 
-1. Words. Each distinct word is a set of padded trigrams plus two abbreviation grams (its first four letters, its
-   consonants). A prefix filter (the rarest grams first, as many as an edit distance of two can leave untouched plus
-   one) gives candidate pairs (word as typed, better attested word); they are verified by edit distance, truncation
-   or dropped vowels, and get a similarity.
+1. Words. Each distinct word is a set of padded trigrams. A prefix filter (the rarest grams first, as many as an edit
+   distance of two can touch plus one) gives candidate pairs (word as typed, better attested word), verified by edit
+   distance; words cut off after three or four letters and words without vowels join on exactly that.
 2. Names. A name is a pair of words in any order; a joined name (one word) is read at every cut. A name is verified
    against names of the corpus that stand in more different strings: both words must be linked, and the similarity is
    the mean of the word similarities weighted by the words' rarity. Each name follows its best such name, so
@@ -24,7 +23,7 @@ from allocata.llm import names
 from allocata.session import cut
 
 EDITS = 2  # edits a typed word may be away: one swap of neighbours, or two single letters
-SHORT = 4  # letters that a cut-off word keeps
+SHORT = (3, 4)  # letters that a cut-off word keeps
 
 
 def grams(word: Column) -> Column:
@@ -46,18 +45,21 @@ def word_links(support: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("word").orderBy("gram_n", "gram"))
     prefix = flat.withColumn("r", rank).where(F.col("r") <= 3 * EDITS + 1).select("word", "n", "gram")
     left = prefix.select(F.col("word").alias("typed"), F.col("n").alias("typed_n"), "gram")
-    # Words that stand in one string only can be nobody's better spelling.
-    right = typed.where("n >= 2").select(F.col("word").alias("word"), F.col("n").alias("word_n"), F.explode("g").alias("gram"))
+    # Pieces of joined names stand in no string of their own and are nobody's better spelling.
+    right = typed.where("n >= 1").select(F.col("word").alias("word"), F.col("n").alias("word_n"), F.explode("g").alias("gram"))
+    # The better attested of two near words is the better spelling; of equally attested ones the longer, then the later in the alphabet.
+    better = F.struct("word_n", F.length("word"), "word") > F.struct("typed_n", F.length("typed"), "typed")
     near = (
-        left.join(right, "gram").where((F.col("word_n") > F.col("typed_n")) & (F.abs(F.length("typed") - F.length("word")) <= EDITS))
+        left.join(right, "gram").where(better & (F.abs(F.length("typed") - F.length("word")) <= EDITS))
         .select("typed", "word", "word_n").distinct()
         .withColumn("d", F.levenshtein("typed", "word", EDITS))
         .where((F.col("d") >= 0) & (F.col("d") <= F.when(F.length("typed") >= 6, EDITS).otherwise(1)))
         .select("typed", "word", "word_n", (1 - F.col("d") / F.greatest(F.length("typed"), F.length("word"))).alias("sim"))
     )
-    full = support.where("n >= 2").select("word", F.col("n").alias("word_n"), F.substring("word", 1, SHORT).alias("short"), vowels.alias("bones"))
-    cut_off = support.where(F.length("word").between(3, SHORT)).select(F.col("word").alias("typed"), F.rpad("word", SHORT, "?").alias("short"), "n")
-    shortened = cut_off.join(full, "short").where("length(word) > length(typed)").select("typed", "word", "word_n", F.lit(0.8).alias("sim"))
+    full = support.where("n >= 1").select("word", F.col("n").alias("word_n"), vowels.alias("bones"))
+    cut_off = support.where(F.length("word").isin(*SHORT)).select(F.col("word").alias("typed"), F.col("word").alias("short"))
+    begun = full.select("word", "word_n", F.explode(F.array_distinct(F.array(*[F.substring("word", 1, k) for k in SHORT]))).alias("short"))
+    shortened = cut_off.join(begun, "short").where("length(word) > length(typed)").select("typed", "word", "word_n", F.lit(0.8).alias("sim"))
     boned = support.where(vowels == F.col("word")).select(F.col("word").alias("typed"), F.col("word").alias("bones"), "n")
     no_vowels = boned.join(full, "bones").where("word <> typed").select("typed", "word", "word_n", F.lit(0.85).alias("sim"))
     itself = support.select(F.col("word").alias("typed"), "word", F.col("n").alias("word_n"), F.lit(1.0).alias("sim"))
@@ -92,15 +94,15 @@ def core_roots(cores: DataFrame, threshold: float = 0.7) -> DataFrame:
     weighed = links.select("typed", "word", "sim", rarity.alias("weight"))
     la = weighed.select(F.col("typed").alias("a"), F.col("word").alias("wa"), F.col("sim").alias("sa"), F.col("weight").alias("ga"))
     lb = weighed.select(F.col("typed").alias("b"), F.col("word").alias("wb"), F.col("sim").alias("sb"), F.col("weight").alias("gb"))
-    anchors = pair.where("n >= 2").select(F.col("core").alias("parent"), F.col("n").alias("parent_n"))
+    anchors = pair.select(F.col("core").alias("parent"), F.col("n").alias("parent_n"))
     found = (
         readings.join(la, "a").join(lb, "b")
         .withColumn("parent", F.concat_ws(" ", F.least("wa", "wb"), F.greatest("wa", "wb")))
         .withColumn("score", (F.col("sa") * F.col("ga") + F.col("sb") * F.col("gb")) / (F.col("ga") + F.col("gb")))
         .where(F.col("score") >= threshold)
         .join(anchors, "parent")
-        # Parents stand in more strings, or in as many and are longer (an abbreviation follows the full name): no cycles.
-        .where("parent <> core AND (parent_n > n OR joined OR (parent_n = n AND length(parent) > length(core)))")
+        # Parents come later in a total order (strings, length, alphabet), so an abbreviation follows the full name and there are no cycles.
+        .where("parent <> core AND (joined OR struct(parent_n, length(parent), parent) > struct(n, length(core), core))")
     )
     best = found.groupBy("core").agg(F.max(F.struct("score", "parent_n", "parent"))["parent"].alias("parent"))
     follow = cut(cores.select("core").join(best, "core", "left").select("core", F.coalesce("parent", "core").alias("root")))

@@ -66,6 +66,7 @@ def test_word_links_lose_no_pair_within_two_edits(spark):
             if len("".join(t)) >= 6:
                 typed.add("".join(t))
     typed -= ws
+    typed |= {w[:k] for w in sorted(ws)[:20] for k in (3, 4)}
     df = spark.createDataFrame([(w, 5) for w in ws] + [(t, 1) for t in typed], "word string, n long")
     got = {(r["typed"], r["word"]) for r in spellings.word_links(df).collect()}
 
@@ -78,10 +79,17 @@ def test_word_links_lose_no_pair_within_two_edits(spark):
             row = new
         return row[-1]
 
-    want = {(t, w) for t in typed for w in ws if edits(t, w) <= 2}
+    want = {(t, w) for t in typed for w in ws if len(t) >= 6 and edits(t, w) <= 2} | {(t, w) for t in typed for w in ws if len(t) in (3, 4) and w.startswith(t)}
     assert want and want <= got
 
 
+def test_rare_spellings_follow_a_total_order(spark):
+    """Two spellings that stand in one string each are linked too: the longer leads, then the later in the alphabet."""
+    df = spark.createDataFrame([("Lorsuxsuld Pirtnamve Fund I",), ("Lorsuxduld Pirtnamve Fund II",), ("Lorsuxsulds Pirtnamve III",), ("Gorlebu Muspamzim Fund",)], "name string")
+    roots = {r["core"]: r["root"] for r in spellings.core_roots(spellings.cores_of(df)).collect()}
+    assert {roots[c] for c in roots if "pirtnamve" in c} == {"lorsuxsulds pirtnamve"} and roots["gorlebu muspamzim"] == "gorlebu muspamzim"
+
+
 def test_spellings_of_nothing(spark):
     managers, records = links(spark, [])
     assert managers.count() == 0 and records.count() == 0
@@ -204,10 +212,10 @@ def test_a_name_without_a_number_may_be_any_fund_of_its_series(spark):
 def test_blocking_recall(spark):
     rng = random.Random(7)
     words = ["".join(rng.choice("abdegklmnorstuz") for _ in range(9)) for _ in range(30)]
-    forms = [(i, *rng.sample(words, 2), "asia", rng.randrange(3)) for i in range(150)]
-    forms += [(1000 + i, a[:5] + rng.choice("xyq") + a[6:], b, s, k) for i, a, b, s, k in forms]
-    df = spark.createDataFrame(forms, "form long, a string, b string, strategy string, number int")
-    grams = {r["form"]: set(r["g"]) for r in df.select("form", F.transform(matching._grams(F.col("a"), F.col("b")), lambda x: F.concat_ws("|", x, "strategy", "number")).alias("g")).collect()}
+    forms = [(i, *rng.sample(words, 2), "asia") for i in range(150)]
+    forms += [(1000 + i, a[:5] + rng.choice("xyq") + a[6:], b, s) for i, a, b, s in forms]
+    df = spark.createDataFrame(forms, "form long, a string, b string, strategy string")
+    grams = {r["form"]: set(r["g"]) for r in df.select("form", F.transform(matching._grams(F.col("a"), F.col("b")), lambda x: F.concat_ws("|", x, "strategy")).alias("g")).collect()}
     want = {(x, y) for x in grams for y in grams if x < y and len(grams[x] & grams[y]) >= 0.5 * len(grams[x] | grams[y])}
     b = matching.bands(df)
     met = b.join(b.withColumnRenamed("form", "other"), ["band", "minimum"]).where("form < other").select("form", "other").distinct()
@@ -215,6 +223,36 @@ def test_blocking_recall(spark):
     assert len(want) > 100 and len(want & got) >= 0.97 * len(want)
 
 
+def test_blocking_recall_by_kind_of_variant(spark):
+    """Without any help of the spelling operator: how often a variant meets its own name by the bands alone."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice(c) for c in rng.choice(["bdgklmnr", "stvwxz"]) + "aeiou" * 2 for _ in range(1)) + "".join(rng.choice("bdgklmnrst") + rng.choice("aeiou") for _ in range(3))
+    names_ = [(word(), word()) for _ in range(200)]
+    bare = lambda w: "".join(c for c in w if c not in "aeiou")
+    kinds = {
+        "typo": lambda a, b: (a[:4] + "q" + a[5:], b), "two typos": lambda a, b: (a[:4] + "q" + a[5:], b[:3] + "q" + b[4:]), "swapped letters": lambda a, b: (a, b[:3] + b[4] + b[3] + b[5:]),
+        "cut off": lambda a, b: (a[:4], b), "no vowels": lambda a, b: (a, bare(b)), "joined": lambda a, b: (a + b, ""),
+    }
+    rows = [(i, a, b, "asia", "name") for i, (a, b) in enumerate(names_)] + [(i, *change(a, b), "asia", kind) for kind, change in kinds.items() for i, (a, b) in enumerate(names_)]
+    df = spark.createDataFrame(rows, "i long, a string, b string, strategy string, kind string")
+    bands = matching.bands(df.withColumn("form", F.struct("i", "kind")))
+    own = bands.where("form.kind = 'name'").select(F.col("form.i").alias("i"), "band", "minimum")
+    met = bands.where("form.kind <> 'name'").select(F.col("form.i").alias("i"), "form.kind", "band", "minimum").join(own, ["i", "band", "minimum"]).select("i", "kind").distinct().groupBy("kind").count()
+    recall = {r["kind"]: r["count"] / len(names_) for r in met.collect()}
+    print(recall)
+    assert min(recall.get(k, 0) for k in ("typo", "swapped letters", "cut off", "no vowels", "joined")) >= 0.9
+
+
+def test_labels_are_no_features_of_their_view():
+    assert not set(matching.VIEWS["name"]) & set(matching.VIEWS["evidence"]) and matching.FEATURES == matching.VIEWS["name"] + matching.VIEWS["evidence"]
+
+
+def test_fit_without_rows_is_the_start(spark):
+    schema = "holding_id long, " + ", ".join(f"{f} double" for f in matching.FEATURES)
+    weights = matching.fit(matching.weak_labels(spark.createDataFrame([], schema)))
+    assert all(weights[f] == pytest.approx(w) for v in matching.START.values() for f, w in v.items() if f != "bias")
+
+
 # ---- p8
 
 
@@ -338,4 +376,7 @@ def test_names_apart(spark):
     df = spark.createDataFrame([("Douflaepae Keke. No. I Infrastr. Prtrs LLC",), ("V Cap Partners LLC",), ("",), (None,)], "n string")
     t = names.words(F.col("n"))
     got = [tuple(r) for r in df.select(names.core(t).alias("c"), names.strategy(t).alias("s"), names.series_number(t).alias("k")).select("c.a", "c.b", "s", "k").collect()]
+    many = spark.createDataFrame([("alpha " + " ".join(f"w{chr(97 + i)}{chr(97 + i)}" for i in range(26)) + " Fund XXXVIII",), ("alpha beta fund 120 2006",), ("alpha beta 07",), ("alpha",)], "n string")
+    long = [tuple(r) for r in many.select(names.core(t).alias("c"), names.stated_number(t).alias("k")).select("c.a", "c.b", "k").collect()]
+    assert long[0][2] == 38 and long[0][1].endswith("wyywzz") and long[1] == ("alpha", "beta", 120) and long[2] == ("alpha", "beta", 7) and long[3] == ("alpha", "", None)
     assert got[0] == ("douflaepae", "keke", "infrastructure", 1) and got[1] == (None, None, "capital", 5) and got[2][:2] == (None, None)
