@@ -355,7 +355,8 @@ def test_equal_reading_means_equal_skeleton(spark):
     df = spark.createDataFrame([(i, unicodedata.normalize(form, t)) for i, t in enumerate(texts) for form in ("NFC", "NFD")], "i long, text string")
     m = lookalikes.mapped(F.col("text"))
     assert df.groupBy("i").agg(F.count_distinct(lookalikes.skeleton(m)).alias("n")).where("n > 1").count() == 0
-    assert df.select("i", lookalikes.reading(m).alias("r")).distinct().count() == len(texts)
+    read = df.groupBy(lookalikes.reading(m).alias("r")).agg(F.count_distinct(lookalikes.skeleton(m)).alias("n"), F.count(F.lit(1)).alias("texts"))
+    assert read.where("n > 1").count() == 0 and read.where("texts > 1").count() > 100
 
 
 def test_mapping_is_stable():
