@@ -285,15 +285,6 @@ def reup_flag(joined: DataFrame) -> DataFrame:
     return rows.select("pension_fund_id", "fund_id", "f_general_partner_normalized", "f_vintage_year").distinct().join(earliest, ["pension_fund_id", "f_general_partner_normalized"]).select("pension_fund_id", "fund_id", F.col("f_general_partner_normalized").alias("gp"), F.col("f_vintage_year").alias("vintage_year"), kind.alias("commitment_type"))
 
 
-def best_scored(left: DataFrame, right: DataFrame, key: str, score: Column, order: list[Column], prefix: str = "r_") -> DataFrame:
-    """For each left row the right row of the same key with the best score; the first in `order` among equals."""
-    r = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns])
-    pairs = left.join(r, left[key] == F.col(f"{prefix}{key}")).withColumn("score", score)
-    ident = [left[c] for c in left.columns]
-    w = Window.partitionBy(*ident).orderBy(F.desc("score"), *order)
-    return pairs.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
-
-
 def ranked_within(rows: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*order)
     return rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)

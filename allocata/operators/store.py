@@ -128,3 +128,15 @@ def delete_open_flags(queue: DataFrame, flag_type: str) -> tuple[DataFrame, Data
     """(queue without the open flags of a type, count of those deleted)."""
     hit = ~F.col("resolved") & (F.col("flag_type") == flag_type)
     return queue.where(~hit), queue.agg(F.count_if(hit).alias("deleted"))
+
+
+def run_listing(log: DataFrame, pension_fund_id: str | None = None) -> DataFrame:
+    """Runs, the latest first, of one investor or of all."""
+    rows = log.where(F.col("pension_fund_id") == pension_fund_id) if pension_fund_id else log
+    return rows.orderBy(F.desc("started_at"), "id")
+
+
+def queue_listing(queue: DataFrame, resolved: bool | None = None) -> DataFrame:
+    """Flags by creation; `resolved` None lists all, else only the closed or only the open ones."""
+    rows = queue if resolved is None else queue.where(F.col("resolved") == resolved)
+    return rows.orderBy("created_at", "id")

@@ -171,21 +171,6 @@ def reup_flag(spark, sf_dir):
     return R.reup_flag(_star(spark, sf_dir))
 
 
-def best_score_match(spark, sf_dir):
-    """Each raw disclosure with the commitment of its investor and method that fits best by amount and vintage.
-
-    The amount must agree in whole units, so the join is on keys; the score then ranks the few that are left.
-    """
-    c = _facts(spark, sf_dir).select("id", "pension_fund_id", "extraction_method", F.round("commitment_mm", 0).cast("bigint").alias("amount"), "commitment_mm", "vintage_year")
-    c = c.where("amount > 0").groupBy("pension_fund_id", "extraction_method", "amount", "vintage_year").agg(F.min("id").alias("id"), F.min("commitment_mm").alias("commitment_mm"))
-    d = table(spark, sf_dir, "disclosures_raw", "id", "pension_fund_id", "extraction_method", "commitment_text", "vintage_text")
-    number = F.regexp_replace("commitment_text", "[$,]", "")
-    d = d.where(number.rlike(r"^\d+(\.\d+)?$")).select(F.col("id").alias("raw_id"), "pension_fund_id", "extraction_method", F.round(number.cast("double"), 0).cast("bigint").alias("amount"), number.cast("double").alias("stated"), F.regexp_extract("vintage_text", r"(\d{4})", 1).try_cast("int").alias("stated_vintage"))
-    j = d.join(c, ["pension_fund_id", "extraction_method", "amount"])
-    score = F.when(F.abs(F.col("stated") - F.col("commitment_mm")) <= 0.01, 3).otherwise(1) + F.when(F.col("stated_vintage") == F.col("vintage_year"), 2).otherwise(0)
-    return R.ranked_within(j.withColumn("score", score), ["raw_id"], [F.desc("score"), F.asc("id")], 1).select("raw_id", F.col("id").alias("commitment_id"), F.col("score").cast("bigint").alias("score"))
-
-
 def spread_report(spark, sf_dir):
     return Q.widest_spreads(_star(spark, sf_dir), "net_multiple").select("fund_name", "investors", "least", "most")
 
@@ -243,7 +228,7 @@ QUERIES = {
     for f in (
         fund_summary, top_funds, cross_link_tiers, investor_pivot, investor_matrix, performance_by_vintage, vintage_having, gp_leaderboard, commitment_trends, gp_penetration, investor_overview, capital_flows,
         strategy_having, strategy_histogram, widely_held, headline, global_stats, irr_quartiles, performance_band, name_pattern_filter, optional_filters, text_search, linked_comparison, unlinked_rows,
-        left_join_lookup, alias_listing, latest_snapshot, last_non_null, top2_per_group, distinct_label, quota_sample, capped_selection, stratified_sample, reup_flag, best_score_match, spread_report,
+        left_join_lookup, alias_listing, latest_snapshot, last_non_null, top2_per_group, distinct_label, quota_sample, capped_selection, stratified_sample, reup_flag, spread_report,
         multiple_divergence, vintage_inconsistency, range_flags, low_completeness, ingest_flags, completeness, coverage_gap, orphan_commitments, status_counts, distinct_documents, method_matrix,
     )
 }
@@ -324,14 +309,6 @@ a AS (SELECT commitment_id, row_number() OVER (ORDER BY k DESC, commitment_mm DE
 b AS (SELECT commitment_id, row_number() OVER (ORDER BY commitment_mm DESC, commitment_id) AS rn FROM s WHERE commitment_id NOT IN (SELECT commitment_id FROM a))
 SELECT commitment_id, 1::INT AS pass FROM a UNION ALL SELECT commitment_id, 2::INT FROM b WHERE rn <= 125 - (SELECT count(*) FROM a)""",
     "reup_flag": f"WITH r AS (SELECT DISTINCT c.pension_fund_id, c.fund_id, f.general_partner_normalized AS gp, f.vintage_year FROM {_J} WHERE f.general_partner_normalized IS NOT NULL AND f.vintage_year IS NOT NULL) SELECT *, CASE WHEN min(vintage_year) OVER (PARTITION BY pension_fund_id, gp) < vintage_year THEN 'Re-Up' ELSE 'New Relationship' END AS commitment_type FROM r",
-    "best_score_match": """
-WITH c AS (SELECT pension_fund_id, extraction_method, CAST(round(commitment_mm, 0) AS BIGINT) AS amount, vintage_year, min(id) AS id, min(commitment_mm) AS commitment_mm FROM commitments WHERE CAST(round(commitment_mm, 0) AS BIGINT) > 0 GROUP BY ALL),
-d AS (SELECT id AS raw_id, pension_fund_id, extraction_method, CAST(round(s, 0) AS BIGINT) AS amount, s AS stated, TRY_CAST(regexp_extract(vintage_text, '(\\d{4})', 1) AS INT) AS sv
-  FROM (SELECT *, TRY_CAST(regexp_replace(commitment_text, '[$,]', '', 'g') AS DOUBLE) AS s FROM disclosures_raw WHERE regexp_matches(regexp_replace(commitment_text, '[$,]', '', 'g'), '^\\d+(\\.\\d+)?$')))
-SELECT raw_id, id AS commitment_id, CAST(score AS BIGINT) AS score FROM (
-  SELECT raw_id, id, CASE WHEN abs(stated - commitment_mm) <= 0.01 THEN 3 ELSE 1 END + CASE WHEN sv = vintage_year THEN 2 ELSE 0 END AS score
-  FROM d JOIN c USING (pension_fund_id, extraction_method, amount))
-QUALIFY row_number() OVER (PARTITION BY raw_id ORDER BY score DESC, id) = 1""",
     "spread_report": f"SELECT fund_name, investors, least, most FROM ({_SPREAD}) WHERE spread > 0 ORDER BY spread DESC, fund_name LIMIT 20",
     "multiple_divergence": f"SELECT fund_name, investors, least, most FROM ({_SPREAD}) WHERE spread > 0.5",
     "vintage_inconsistency": "SELECT fund_id, count(DISTINCT vintage_year) AS n_vintages, array_to_string(list_sort(list(DISTINCT vintage_year)), ',') AS vintages FROM commitments WHERE vintage_year IS NOT NULL GROUP BY 1 HAVING count(DISTINCT vintage_year) > 1",
