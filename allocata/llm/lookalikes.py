@@ -108,13 +108,13 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tu
 
     class_id is the smallest key of the class; canonical is null where the class has one mapped text only.
     """
-    rows = documents.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("form", mapped(F.col("text")))
-    members = cut(rows.select("key", _hash(F.col("text")).alias("text_hash"), _hash(F.col("form")).alias("form_hash"), _hash(skeleton(F.col("form"))).alias("skeleton"), has_ink(F.col("form")).alias("inked")))
+    rows = documents.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    members = cut(rows.withColumn("form", mapped(F.col("text"))).select("key", _hash(F.col("text")).alias("text_hash"), _hash(F.col("form")).alias("form_hash"), _hash(skeleton(F.col("form"))).alias("skeleton"), has_ink(F.col("form")).alias("inked")))
     forms = cut(members.groupBy("skeleton", "form_hash").agg(F.min("key").alias("first_key")))
     shared = forms.groupBy("skeleton").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("skeleton")
     rivals = forms.join(shared, "skeleton")
-    # One document stands for each mapped text; its text is mapped again rather than kept for all.
-    fetched = cut(rivals.join(rows.select(F.col("key").alias("first_key"), "form"), "first_key"))
+    # One document stands for each mapped text; its text is fetched and mapped again rather than kept for all.
+    fetched = cut(rivals.join(rows.withColumnRenamed("key", "first_key"), "first_key").withColumn("form", mapped(F.col("text"))).drop("text"))
     reads = fetched.groupBy("skeleton", reading(F.col("form")).alias("reads")).agg(F.min("first_key").alias("class_id"), F.min("form").alias("canonical"), F.count(F.lit(1)).alias("n")).where("n > 1").alias("r")
     on = (F.col("f.skeleton") == F.col("r.skeleton")) & (reading(F.col("f.form")) == F.col("r.reads"))
     alike = fetched.alias("f").join(reads, on).select("f.form_hash", "r.class_id", "r.canonical")
