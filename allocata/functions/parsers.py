@@ -52,7 +52,7 @@ def dollar_amount(c: Column, in_millions: bool = False) -> Column:
     inner, wrapped = _unwrap(present(c))
     s = strip(F.regexp_replace(inner, r"[$ ]", ""))
     minus = s.startswith("-")
-    s = F.when(minus, F.substring(s, 2, 1000)).otherwise(s)
+    s = F.regexp_replace(s, "^-", "")
     low = F.lower(s)
     scale = (
         F.when(low.rlike("(billion|b)$"), 1000.0).when(low.rlike("(million|mm|m)$"), 1.0).when(low.rlike("(thousand|k)$"), 0.001)
@@ -169,16 +169,22 @@ def positive_multiple(c: Column) -> Column:
     return F.abs(c)
 
 
-def format_dollars(c: Column) -> Column:
-    return F.when(c.isNull(), "").otherwise(F.format_string("$%,.1fM", c))
+def _places(c: Column, places: int) -> Column:
+    """A number with so many places; a tie goes to the even digit, as the double's exact value has it."""
+    return F.format_number(c, places)
+
+
+def format_dollars(c: Column, unit: str = "M") -> Column:
+    """Millions, or with unit B billions, with one place; empty for none."""
+    return F.when(c.isNull(), "").otherwise(F.concat(F.lit("$"), _places(c / 1000 if unit == "B" else c, 1), F.lit(unit)))
 
 
 def format_rate(c: Column) -> Column:
-    return F.when(c.isNull(), "N/A").otherwise(F.format_string("%.1f%%", c * 100))
+    return F.when(c.isNull(), "N/A").otherwise(F.concat(F.replace(_places(c * 100, 1), F.lit(","), F.lit("")), F.lit("%")))
 
 
 def format_multiple(c: Column) -> Column:
-    return F.when(c.isNull(), "").otherwise(F.format_string("%.2fx", c))
+    return F.when(c.isNull(), "").otherwise(F.concat(F.replace(_places(c, 2), F.lit(","), F.lit("")), F.lit("x")))
 
 
 def format_month(c: Column) -> Column:
@@ -192,7 +198,7 @@ def loose_float(c: Column) -> Column:
 def scaled(number: Column, unit: Column) -> Column:
     """Number with its stated scale in millions: billion or B, million or M, K."""
     u = F.lower(unit)
-    return F.when(u.isin("billion", "b"), number * 1000).when(u == "k", number / 1000).otherwise(number)
+    return F.when(u.isin("billion", "b"), number * 1000).when(u.isin("thousand", "k"), number / 1000).otherwise(number)
 
 
 def first_match(text: Column, patterns: dict[str, str], default: str) -> Column:

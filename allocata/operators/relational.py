@@ -272,7 +272,7 @@ def capped_selection(joined: DataFrame, first_cap: int = 110, cap: int = 125) ->
 def stratified_sample(commitments: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """max(1, n // strata) rows of each investor in a seeded hash order, then n of all."""
     strata = commitments.select("pension_fund_id").distinct().count() or 1
-    order = F.xxhash64("id", F.lit(seed))
+    order = F.md5(F.concat("id", F.lit(str(seed))))
     w = Window.partitionBy("pension_fund_id").orderBy(order, "id")
     return commitments.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max(1, n // strata)).orderBy(order, "id").limit(n).select("id", "pension_fund_id")
 

@@ -264,6 +264,7 @@ _FIELDS = Q.SCORED_FIELDS
 _FILLED = " + ".join(f"({x} IS NOT NULL)::INT" for x in _FIELDS)
 
 ORACLE = {
+    "stratified_sample": "SELECT id, pension_fund_id FROM (SELECT id, pension_fund_id, md5(id || '0') AS h, row_number() OVER (PARTITION BY pension_fund_id ORDER BY md5(id || '0'), id) AS rn, (SELECT count(DISTINCT pension_fund_id) FROM commitments) AS k FROM commitments) WHERE rn <= greatest(1, 480 // k) ORDER BY h, id LIMIT 480",
     "fund_summary": _SUMMARY,
     "top_funds": f"SELECT * FROM ({_SUMMARY}) WHERE total_commitment_mm > 0 ORDER BY total_commitment_mm DESC, fund_id LIMIT 100",
     "cross_link_tiers": "SELECT count(*) AS funds, count(*) FILTER (n >= 2) AS held_by_2, count(*) FILTER (n >= 3) AS held_by_3, count(*) FILTER (n >= 4) AS held_by_4, count(*) FILTER (n >= 5) AS held_by_5 FROM (SELECT count(DISTINCT pension_fund_id) AS n FROM commitments GROUP BY fund_id)",

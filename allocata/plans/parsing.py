@@ -72,17 +72,28 @@ def token_jaccard(spark, sf_dir):
 
 
 def derived_metrics(spark, sf_dir):
-    """Ratios that a source does not state, unrounded so that two engines agree to the last digit."""
-    c = table(spark, sf_dir, "commitments", "id", "capital_called_mm", "capital_distributed_mm", "remaining_value_mm", "dpi")
+    """What a source does not state: remaining value, multiple with each guard, distributions to paid-in."""
+    c = table(spark, sf_dir, "commitments", "id", "capital_called_mm", "capital_distributed_mm", "remaining_value_mm", "dpi", "net_multiple")
     called, out, left = F.col("capital_called_mm"), F.col("capital_distributed_mm"), F.col("remaining_value_mm")
+    total = out + left
     return c.select(
-        "id", (out + left).alias("total_value_mm"), P.remaining_value(out + left, out).alias("remaining_mm"), F.when(called > 0, (out + left) / called).alias("multiple"),
-        F.coalesce("dpi", F.when(called > 0, out / called)).alias("dpi"),
+        "id", total.alias("total_value_mm"), P.remaining_value(total, out).alias("remaining_mm"), P.derived_multiple(total, called).alias("multiple"), P.derived_multiple(total, called, missing_as_zero=True).alias("multiple_zero"),
+        P.derived_multiple(total, called, positive_total=True).alias("multiple_positive"), P.derived_dpi(F.col("dpi"), out, called).alias("dpi"), P.positive_multiple(F.col("net_multiple")).alias("positive_multiple"),
     )
 
 
 def formatted_values(spark, sf_dir):
-    return table(spark, sf_dir, "commitments", "id", "net_multiple", "as_of_date").select("id", F.coalesce(F.date_format("as_of_date", "MMM yyyy"), F.lit("")).alias("as_of"), F.when(F.col("net_multiple").isNull(), "").otherwise("x").alias("has_multiple"))
+    """Values as they are shown: dollars, rates, multiples and months."""
+    c = table(spark, sf_dir, "commitments", "id", "commitment_mm", "net_irr", "net_multiple", "as_of_date")
+    return c.select("id", P.format_month(F.col("as_of_date").cast("string")).alias("as_of"), P.format_multiple(F.col("net_multiple")).alias("multiple"), P.format_rate(F.col("net_irr")).alias("rate"), P.format_dollars(F.col("commitment_mm")).alias("dollars"), P.format_dollars(F.col("commitment_mm"), "B").alias("billions"))
+
+
+def loose_numbers(spark, sf_dir):
+    """Numbers of a sheet, two-digit years, years of dates and numbers that a page broke in two."""
+    text = F.col("commitment_text")
+    return _raw(spark, sf_dir).select(
+        "id", P.loose_float(F.col("net_multiple_text")).alias("number"), P.two_digit_year(F.regexp_extract("vintage_text", r"(\d{2})\D*$", 1)).alias("vintage"), P.year_of_date(F.col("as_of_text")).alias("year"), P.rejoin_split_number(text).alias("rejoined"),
+    )
 
 
 def resolve_entities(spark, sf_dir):
@@ -123,7 +134,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         parse_amounts, parse_percent, parse_multiple, parse_vintage, parse_dates, stated_dates, source_amounts, normalize_names, fund_numerals, classify_strategy, extract_gp, family_names, token_jaccard,
-        derived_metrics, formatted_values, resolve_entities, similarity_pairs, firm_resolution, link_audit, auto_resolved,
+        derived_metrics, formatted_values, loose_numbers, resolve_entities, similarity_pairs, firm_resolution, link_audit, auto_resolved,
     )
 }
 
@@ -188,6 +199,8 @@ def _tokens(c: str) -> str:
     return f"list_distinct(list_filter(string_split(lower(trim(regexp_replace({c}, '\\s+', ' ', 'g'))), ' '), lambda x: x NOT IN ({_GENERIC})))"
 
 
+# Through text, since the second engine rounds the product with ten thousand, not the number as it is written.
+_ROUND = lambda x: f"CAST(CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), 4) AS VARCHAR) AS DOUBLE)"
 _ROMAN = ", ".join(f"'{r}'" for r in N.ROMAN)
 _ONE = ", ".join(f"'{x}'" for x in N.BEFORE_ONE)
 
@@ -214,6 +227,13 @@ SELECT f.id, [{_ROMAN}][max(w.n)] AS number FROM funds f LEFT JOIN w ON f.id = w
     "extract_gp": f"SELECT id, gp FROM ({_GP})",
     "family_names": f"SELECT id, CASE WHEN {_FAMILY} = '' THEN fund_name ELSE {_FAMILY} END AS family FROM funds",
     "token_jaccard": f"SELECT id, CAST(len(list_intersect(a, b)) AS BIGINT) AS common, CAST(len(list_distinct(list_concat(a, b))) AS BIGINT) AS union_size FROM (SELECT id, {_tokens('fund_name_raw')} AS a, {_tokens('general_partner')} AS b FROM funds WHERE general_partner IS NOT NULL)",
-    "derived_metrics": "SELECT id, capital_distributed_mm + remaining_value_mm AS total_value_mm, (capital_distributed_mm + remaining_value_mm) - capital_distributed_mm AS remaining_mm, CASE WHEN capital_called_mm > 0 THEN (capital_distributed_mm + remaining_value_mm) / capital_called_mm END AS multiple, coalesce(dpi, CASE WHEN capital_called_mm > 0 THEN capital_distributed_mm / capital_called_mm END) AS dpi FROM commitments",
-    "formatted_values": "SELECT id, coalesce(strftime(as_of_date, '%b %Y'), '') AS as_of, CASE WHEN net_multiple IS NULL THEN '' ELSE 'x' END AS has_multiple FROM commitments",
+    "derived_metrics": f"""SELECT id, t AS total_value_mm, t - o AS remaining_mm, CASE WHEN c > 0 THEN {_ROUND('t / c')} END AS multiple, CASE WHEN c > 0 AND coalesce(t, 0) > 0 THEN {_ROUND('t / c')} END AS multiple_zero,
+ CASE WHEN c > 0 AND t > 0 THEN {_ROUND('t / c')} END AS multiple_positive, coalesce(dpi, CASE WHEN c > 0 THEN {_ROUND('o / c')} END) AS dpi, abs(m) AS positive_multiple FROM (SELECT id, capital_called_mm AS c, capital_distributed_mm AS o, capital_distributed_mm + remaining_value_mm AS t, dpi, net_multiple AS m FROM commitments)""",
+    "formatted_values": "SELECT id, coalesce(strftime(as_of_date, '%b %Y'), '') AS as_of, CASE WHEN net_multiple IS NULL THEN '' ELSE format('{:.2f}x', net_multiple) END AS multiple, CASE WHEN net_irr IS NULL THEN 'N/A' ELSE format('{:.1f}%', net_irr * 100) END AS rate, CASE WHEN commitment_mm IS NULL THEN '' ELSE format('${:,.1f}M', commitment_mm) END AS dollars, CASE WHEN commitment_mm IS NULL THEN '' ELSE format('${:,.1f}B', commitment_mm / 1000) END AS billions FROM commitments",
+    "loose_numbers": f"""SELECT id, {_number("regexp_replace(trim(net_multiple_text), '[xX,]', '', 'g')")} AS number, CASE WHEN y > 99 THEN y WHEN y <= 30 THEN y + 2000 ELSE y + 1900 END AS vintage, TRY_CAST(regexp_extract(as_of_text, '^\\s*\\d{{1,2}}/\\d{{1,2}}/(\\d{{4}})', 1) AS INT) AS year,
+ regexp_replace(commitment_text, '(\\d)\\s+(\\d)', '\\1\\2', 'g') AS rejoined FROM (SELECT *, TRY_CAST(regexp_extract(vintage_text, '(\\d{{2}})\\D*$', 1) AS INT) AS y FROM disclosures_raw)""",
+    "stated_dates": "SELECT * FROM (SELECT doc_id, coalesce(" + ", ".join(
+        "TRY_CAST(try_strptime(regexp_extract(text, '" + lead + "(" + "|".join(P.MONTHS) + ")\\s+(\\d{1,2}),?\\s+(\\d{4})', 1) || ' ' || regexp_extract(text, '" + lead + "(" + "|".join(P.MONTHS) + ")\\s+(\\d{1,2}),?\\s+(\\d{4})', 2) || ' ' || regexp_extract(text, '" + lead + "(" + "|".join(P.MONTHS) + ")\\s+(\\d{1,2}),?\\s+(\\d{4})', 3), '%B %d %Y') AS DATE)"
+        for lead in ("[Aa]s\\s+of\\s+", "[Ff]or\\s+the\\s+period\\s+ending\\s+")
+    ) + ", TRY_CAST(regexp_extract(text, '[Qq]([1-4])\\s*(\\d{4})', 2) || CASE regexp_extract(text, '[Qq]([1-4])\\s*(\\d{4})', 1) WHEN '1' THEN '-03-31' WHEN '2' THEN '-06-30' WHEN '3' THEN '-09-30' WHEN '4' THEN '-12-31' END AS DATE)) AS as_of_date FROM documents) WHERE as_of_date IS NOT NULL",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from allocata.functions import parsers as P
 from allocata.operators import textevents as T
 from allocata.session import table
 from allocata.sources import layout
@@ -30,13 +31,15 @@ def meeting_dates(spark, sf_dir):
     return _documents(spark, sf_dir).select("doc_id", T.meeting_date(F.col("text")).alias("meeting_date")).where("meeting_date <> ''")
 
 
-COMMITMENT = r"commitment of \$([\d.]+) (million|billion) to"
+COMMITMENT = r"commitment of (\$[\d.,]* ?(?:million|billion|thousand)) to"
 
 
 def event_patterns(spark, sf_dir):
-    """Every commitment of a stated amount that a document mentions."""
-    hits = F.posexplode(F.regexp_extract_all("text", F.lit(COMMITMENT), F.lit(1))).alias("n", "amount")
-    return _documents(spark, sf_dir).select("doc_id", hits).select("doc_id", F.col("n").cast("bigint").alias("n"), F.col("amount").cast("double").alias("amount_mm"))
+    """Every commitment of a stated amount that a document mentions, in millions."""
+    hits = F.posexplode(F.regexp_extract_all("text", F.lit(COMMITMENT), F.lit(1))).alias("n", "said")
+    said = F.col("said")
+    amount = F.replace(F.regexp_extract(said, r"([\d.,]+)", 1), F.lit(","), F.lit("")).try_cast("double")
+    return _documents(spark, sf_dir).select("doc_id", hits).select("doc_id", F.col("n").cast("bigint").alias("n"), P.scaled(amount, F.regexp_extract(said, "([a-z]+)$", 1)).alias("amount_mm"))
 
 
 def motion_outcomes(spark, sf_dir):
@@ -93,7 +96,11 @@ def _tone(words: list[str]) -> str:
 
 ORACLE = {
     "meeting_dates": "SELECT doc_id, d AS meeting_date FROM (SELECT doc_id, CASE WHEN regexp_extract(substring(text, 1, 2000), '(?i)(?:Board\\s+Meeting\\s+Minutes|Meeting\\s+Minutes|Board\\s+Meeting)\\s*\\n\\s*(\\w+\\s+\\d{1,2},?\\s+\\d{4})', 1) <> '' THEN regexp_extract(substring(text, 1, 2000), '(?i)(?:Board\\s+Meeting\\s+Minutes|Meeting\\s+Minutes|Board\\s+Meeting)\\s*\\n\\s*(\\w+\\s+\\d{1,2},?\\s+\\d{4})', 1) ELSE regexp_extract(substring(text, 1, 2000), '((?:" + T.MONTHS + ")\\s+\\d{1,2},?\\s+\\d{4})', 1) END AS d FROM documents) WHERE d <> ''",
-    "event_patterns": f"SELECT doc_id, CAST(i - 1 AS BIGINT) AS n, CAST(a[i] AS DOUBLE) AS amount_mm FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{COMMITMENT}', 1) AS a FROM documents))",
+    "event_patterns": f"SELECT doc_id, CAST(i - 1 AS BIGINT) AS n, TRY_CAST(replace(regexp_extract(a[i], '([\\d.,]+)', 1), ',', '') AS DOUBLE) * CASE WHEN a[i] LIKE '%billion' THEN 1000.0 WHEN a[i] LIKE '%thousand' THEN 0.001 ELSE 1.0 END::DOUBLE AS amount_mm FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{COMMITMENT}', 1) AS a FROM documents))",
+    "document_systems": "SELECT CASE " + " ".join(f"WHEN regexp_matches(left(text, 3000), '{p}') THEN '{n}'" for n, p in T.SYSTEMS.items()) + " ELSE 'Unknown' END AS system, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1",
+    "layout_rows": """WITH w AS (SELECT doc_id::VARCHAR AS doc_id, unnest(ws) AS t, unnest(range(len(ws))) AS i FROM (SELECT doc_id, list_filter(string_split_regex(text, '[ \\n\\t]+'), lambda x: x <> '') AS ws FROM documents WHERE text IS NOT NULL)),
+c AS (SELECT doc_id, i // 8 * 12.0 AS "row", i, t, [0, 0, 0, 1, 2, 3, 4, 6][i % 8 + 1] AS k FROM w)
+SELECT doc_id, 1 AS page, "row"::DOUBLE AS "row", """ + ", ".join(f"coalesce(string_agg(t, ' ' ORDER BY i) FILTER (k = {j}), '') AS c{j}" for j in range(7)) + """ FROM c GROUP BY doc_id, 3""",
     "motion_outcomes": "SELECT CASE WHEN regexp_matches(text, '(?i)motion carried unanimously') THEN 'carried_unanimously' WHEN regexp_matches(text, '(?i)motion carried') THEN 'carried' WHEN regexp_matches(text, '(?i)motion failed') THEN 'failed' ELSE 'none' END AS outcome, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1",
     "sentiment": f"SELECT doc_id, minus, plus, CASE WHEN minus > plus THEN 'negative' WHEN plus > minus THEN 'positive' ELSE 'neutral' END AS tone FROM (SELECT doc_id, CAST({_tone(T.NEGATIVE)} AS BIGINT) AS minus, CAST({_tone(T.POSITIVE)} AS BIGINT) AS plus FROM documents WHERE text IS NOT NULL)",
     "numbered_lines": "WITH l AS (SELECT doc_id, length(text) AS total, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE text <> ''), s AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM l) SELECT doc_id, i, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY i), total) AS \"end\" FROM s",

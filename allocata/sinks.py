@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from allocata.functions.parsers import format_multiple, format_rate
+
 # Friendly headers of exported columns.
 HEADERS = {
     "fund_name": "Fund Name",
@@ -45,11 +47,11 @@ def formatted(df: DataFrame, rates: tuple[str, ...] = (), amounts: tuple[str, ..
 
     def shown(c: str) -> Column:
         if c in rates:
-            return F.format_string("%.1f%%", F.col(c) * 100)
+            return format_rate(F.col(c))
         if c in amounts:
-            return F.format_string("%,.1f", F.col(c))
+            return F.format_number(F.col(c), 1)
         if c in multiples:
-            return F.format_string("%.2fx", F.col(c))
+            return format_multiple(F.col(c))
         return F.col(c).cast("string")
 
     return df.select(*[F.when(F.col(c).isNotNull(), shown(c)).alias(HEADERS.get(c, c)) for c in df.columns])
