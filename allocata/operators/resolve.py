@@ -161,10 +161,11 @@ def firm_matches(names: DataFrame, firms: DataFrame, aliases: DataFrame) -> Data
 
 
 def link_scores(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """pairs with (ratio, token_ratio, numbers_agree) of two name columns."""
+    """pairs with (ratio, token_ratio, numbers_agree, numbers_differ) of two name columns; a number that only one name has neither agrees nor differs."""
     x, y = F.lower(normalized_name(F.col(a))), F.lower(normalized_name(F.col(b)))
     na, nb = fund_number(F.col(a)), fund_number(F.col(b))
-    return pairs.select("*", indel_ratio(x, y).alias("ratio"), indel_ratio(token_sorted(x), token_sorted(y)).alias("token_ratio"), na.eqNullSafe(nb).alias("numbers_agree"))
+    scored = pairs.select("*", indel_ratio(x, y).alias("ratio"), indel_ratio(token_sorted(x), token_sorted(y)).alias("token_ratio"), na.alias("_na"), nb.alias("_nb"))
+    return scored.select("*", F.col("_na").eqNullSafe(F.col("_nb")).alias("numbers_agree"), F.coalesce(F.col("_na") != F.col("_nb"), F.lit(False)).alias("numbers_differ")).drop("_na", "_nb")
 
 
 def auto_resolvable(reviews: DataFrame, a: str, b: str) -> DataFrame:
@@ -173,5 +174,5 @@ def auto_resolvable(reviews: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def suspect_links(links: DataFrame, a: str, b: str) -> DataFrame:
-    """Links whose numbers differ or whose ratio is low."""
-    return link_scores(links, a, b).where(~F.col("numbers_agree") | (F.col("ratio") < AUDIT_RATIO))
+    """Links whose names state different numbers or whose ratio is low."""
+    return link_scores(links, a, b).where(F.col("numbers_differ") | (F.col("ratio") < AUDIT_RATIO))

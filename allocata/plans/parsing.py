@@ -121,7 +121,7 @@ def firm_resolution(spark, sf_dir):
 def link_audit(spark, sf_dir):
     """Aliases whose name looks unlike the fund they are linked to."""
     f = table(spark, sf_dir, "funds", "id", "fund_name").withColumnRenamed("id", "fund_id")
-    return E.suspect_links(table(spark, sf_dir, "fund_aliases", "id", "fund_id", "alias").join(f, "fund_id"), "alias", "fund_name").select("id", "ratio", "numbers_agree")
+    return E.suspect_links(table(spark, sf_dir, "fund_aliases", "id", "fund_id", "alias").join(f, "fund_id"), "alias", "fund_name").select("id", "ratio", "numbers_differ")
 
 
 def auto_resolved(spark, sf_dir):
@@ -204,7 +204,61 @@ _ROUND = lambda x: f"CAST(CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20
 _ROMAN = ", ".join(f"'{r}'" for r in N.ROMAN)
 _ONE = ", ".join(f"'{x}'" for x in N.BEFORE_ONE)
 
+
+
+def _ratio(a: str, b: str) -> str:
+    """Normalised indel similarity: the longest common subsequence by the bit-parallel recurrence on 128-bit integers."""
+    one = "1::HUGEINT"
+    masks = f"list_transform(string_split({b}, ''), lambda y: list_reduce(list_transform(range(length({a})), lambda i: CASE WHEN {a}[i + 1] = y THEN {one} << i::HUGEINT ELSE 0::HUGEINT END), lambda p, q: p + q))"
+    full = f"(({one} << length({a})::HUGEINT) - 1)"
+    state = f"list_reduce(list_prepend({full}, {masks}), lambda s, m: ((s + (s & m)) | (s - (s & m))) & {full})"
+    return f"CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN (length({a}) + length({b}) = 0)::INT::DOUBLE ELSE 2.0::DOUBLE * (length({a}) - bit_count({state})) / (length({a}) + length({b})) END"
+
+
+def _sorted(c: str) -> str:
+    return f"array_to_string(list_sort(string_split(trim(regexp_replace({c}, '\\s+', ' ', 'g')), ' ')), ' ')"
+
+
+def _numbers(source: str) -> str:
+    """(k, number): the largest Roman number of the names of a relation (k, name)."""
+    return f"""(WITH t AS (SELECT k, regexp_split_to_array(trim(name), '[\\s,\\-\'\'"()]+') AS ts FROM {source}), u AS (SELECT k, ts, unnest(range(1, len(ts) + 1)) AS i FROM t),
+v AS (SELECT k, upper(regexp_replace(ts[i], '\\.+$', '')) AS r, CASE WHEN i > 1 THEN lower(ts[i - 1]) ELSE '' END AS b FROM u),
+w AS (SELECT k, list_position([{_ROMAN}], r) AS n FROM v WHERE NOT (r = 'I' AND regexp_replace(b, '[.,]+$', '') NOT IN ({_ONE})) AND NOT (r = 'V' AND ends_with(b, 'v')))
+SELECT k, max(n) AS number FROM w WHERE n > 0 GROUP BY k)"""
+
+
+def _low(c: str) -> str:
+    return f"lower({_NORMAL.format(c)})"
+
+
+_LINKS = f"""
+a AS (SELECT fa.id, alias, fund_name, {_low('alias')} AS x, {_low('fund_name')} AS y FROM fund_aliases fa JOIN funds f ON f.id = fa.fund_id),
+na AS (SELECT id AS k, alias AS name FROM a), nb AS (SELECT id AS k, fund_name AS name FROM a),
+l AS (SELECT a.id, {_ratio('x', 'y')} AS ratio, {_ratio('sx', 'sy')} AS token_ratio, p.number AS n1, q.number AS n2 FROM (SELECT *, {_sorted('x')} AS sx, {_sorted('y')} AS sy FROM a) a LEFT JOIN {_numbers('na')} p ON p.k = a.id LEFT JOIN {_numbers('nb')} q ON q.k = a.id)"""
+_STRATEGY = ", ".join(f"'{x}'" for x in N.STRATEGY_TOKENS)
+_PAIR_SQL = f"""
+WITH r AS (SELECT id, fund_name_raw AS raw, {_low('fund_name_raw')} AS key FROM funds WHERE fund_name_raw IS NOT NULL),
+n AS (SELECT key, min(id) AS arrival, arg_min(raw, id) AS raw FROM r WHERE key <> '' GROUP BY key),
+m AS (SELECT *, {_NORMAL.format('raw')} AS stored FROM n), c AS (SELECT *, {_low('stored')} AS canonical FROM m),
+s1 AS (SELECT key AS k, raw AS name FROM c), s2 AS (SELECT key AS k, stored AS name FROM c),
+d AS (SELECT c.*, p.number AS n1, q.number AS n2, {_tokens('c.key')} AS t1, {_tokens('c.canonical')} AS t2, list_sort(list_distinct(list_filter(string_split(c.key, ' '), lambda x: x IN ({_STRATEGY})))) AS st, {_sorted('c.key')} AS sk, {_sorted('c.canonical')} AS sc
+  FROM c LEFT JOIN {_numbers('s1')} p ON p.k = c.key LEFT JOIN {_numbers('s2')} q ON q.k = c.key),
+g AS (SELECT a.key AS later, b.key AS earlier, a.key AS x, b.canonical AS y, a.sk AS sx, b.sc AS sy FROM d a JOIN d b ON b.arrival < a.arrival AND a.st = b.st AND (a.n1 IS NULL OR b.n2 IS NULL OR a.n1 = b.n2)
+  AND (len(a.t1) = 0 OR len(b.t2) = 0 OR len(list_intersect(a.t1, b.t2)) >= 0.3 * len(list_distinct(list_concat(a.t1, b.t2)))) AND 2.0 * least(length(a.key), length(b.canonical)) / (length(a.key) + length(b.canonical)) >= 0.65),
+z AS (SELECT later, earlier, {_ratio('x', 'y')} AS ratio, {_ratio('sx', 'sy')} AS score FROM g)
+SELECT * FROM z WHERE ratio >= 0.65 AND score > 0.75"""
+_FIRMS = f"""
+WITH n AS (SELECT DISTINCT general_partner AS firm_name, {_FIRM.format('general_partner')} AS form FROM funds WHERE general_partner IS NOT NULL), f AS (SELECT DISTINCT sha256(canonical_name) AS firm_id, {_FIRM.format('canonical_name')} AS y FROM gp_aliases), al AS (SELECT sha256(canonical_name) AS firm_id, {_FIRM.format('alias')} AS y FROM gp_aliases),
+e AS (SELECT firm_name, min(firm_id) AS firm_id, 'exact' AS match_type FROM n JOIN f ON form = y WHERE form <> '' GROUP BY 1), b AS (SELECT firm_name, min(firm_id) AS firm_id, 'alias' AS match_type FROM n JOIN al ON form = y WHERE form <> '' AND firm_name NOT IN (SELECT firm_name FROM e) GROUP BY 1),
+p AS (SELECT firm_name, form AS x, firm_id, y FROM n, f WHERE form <> '' AND firm_name NOT IN (SELECT firm_name FROM e UNION ALL SELECT firm_name FROM b) AND 2.0 * least(length(form), length(y)) > 0.85 * (length(form) + length(y))),
+z AS (SELECT firm_name, firm_id, {_ratio('x', 'y')} AS score FROM p)
+SELECT * FROM e UNION ALL SELECT * FROM b UNION ALL SELECT firm_name, arg_min(firm_id, (-score, firm_id)), 'fuzzy' FROM z WHERE score > 0.85 GROUP BY 1"""
+
 ORACLE = {
+    "link_audit": f"WITH {_LINKS} SELECT id, ratio, coalesce(n1 <> n2, false) AS numbers_differ FROM l WHERE coalesce(n1 <> n2, false) OR ratio < 0.75",
+    "auto_resolved": f"WITH {_LINKS} SELECT id, ratio, token_ratio FROM l WHERE token_ratio > 0.90 AND ratio > 0.75 AND n1 IS NOT DISTINCT FROM n2",
+    "similarity_pairs": _PAIR_SQL,
+    "firm_resolution": _FIRMS,
     "parse_amounts": f"WITH a AS ({_amount('1e-6')}), b AS ({_amount('1.0')}) SELECT a.id, a.v AS amount_mm, b.v AS amount_in_millions FROM a JOIN b USING (id)",
     "parse_percent": f"SELECT id, CASE WHEN contains(i, '%') OR abs(n) > 1 THEN n / 100 ELSE n END AS rate FROM (SELECT id, i, CASE WHEN w THEN -n ELSE n END AS n FROM (SELECT id, i, w, {_number('x')} AS n FROM (SELECT id, i, w, trim(regexp_replace(i, '[%,]', '', 'g')) AS x FROM (SELECT id, starts_with(s, '(') AND ends_with(s, ')') AS w, CASE WHEN starts_with(s, '(') AND ends_with(s, ')') THEN trim(s[2:-2]) ELSE s END AS i FROM (SELECT id, {_present('net_irr_text')} AS s FROM disclosures_raw)))))",
     "parse_multiple": f"SELECT id, {_number('x')} AS multiple FROM (SELECT id, replace(trim(regexp_replace(s, '[xX]$', '')), ',', '') AS x FROM (SELECT id, {_present('net_multiple_text')} AS s FROM disclosures_raw))",
