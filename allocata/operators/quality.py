@@ -13,6 +13,8 @@ VINTAGE_FROM = 1980
 MIN_CONFIDENCE = 0.85
 MIN_COMPLETENESS = 0.33
 MAX_SPREAD = 0.5
+# Fields of the completeness table, and those that a record's own completeness counts.
+PROFILE_FIELDS = ("commitment_mm", "vintage_year", "capital_called_mm", "capital_distributed_mm", "remaining_value_mm", "net_irr", "net_multiple", "dpi", "as_of_date")
 SCORED_FIELDS = ("commitment_mm", "capital_called_mm", "capital_distributed_mm", "remaining_value_mm", "net_irr", "net_multiple")
 
 
@@ -70,7 +72,7 @@ def widest_spreads(joined: DataFrame, field: str, n: int = 20) -> DataFrame:
     return spread(joined, field, 0.0).orderBy(F.desc("spread"), "fund_name").limit(n)
 
 
-def completeness(commitments: DataFrame, fields: tuple[str, ...] = SCORED_FIELDS) -> DataFrame:
+def completeness(commitments: DataFrame, fields: tuple[str, ...] = PROFILE_FIELDS) -> DataFrame:
     """(field, n_rows, n_present, percent): one pass over the table, then one row per field."""
     counts = commitments.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(f).alias(f) for f in fields])
     item = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("n_present")) for f in fields])

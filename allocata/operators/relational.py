@@ -154,9 +154,22 @@ def global_stats(joined: DataFrame) -> DataFrame:
 
 
 def irr_quartiles(joined: DataFrame) -> DataFrame:
-    """Exact quartiles with linear interpolation per investor, for plausible rates."""
-    rows = joined.where("net_irr BETWEEN -0.5 AND 1.0")
-    return rows.groupBy("pension_fund_id").agg(n_rows().alias("n"), *[F.round(F.percentile("net_irr", F.lit(p)), 9).alias(a) for p, a in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    """Exact quartiles with linear interpolation per investor, for plausible rates.
+
+    Equal rates are counted map-side; a window over an investor's distinct rates (sorted, with spill) finds the two ranks
+    of each quartile, so no buffer holds an investor's rates.
+    """
+    counts = joined.where("net_irr BETWEEN -0.5 AND 1.0").groupBy("pension_fund_id", "net_irr").agg(n_rows().alias("n"))
+    totals = counts.groupBy("pension_fund_id").agg(F.sum("n").alias("total"))
+    upto = Window.partitionBy("pension_fund_id").orderBy("net_irr").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("upto", F.sum("n").over(upto)).join(totals, "pension_fund_id")
+
+    def quantile(p: float, name: str) -> Column:
+        place = p * (F.col("total") - 1)
+        low, high = (F.min(F.when(F.col("upto") > f(place), F.col("net_irr"))) for f in (F.floor, F.ceil))
+        return F.round(low + (high - low) * F.max(place - F.floor(place)), 9).alias(name)
+
+    return ranked.groupBy("pension_fund_id").agg(F.max("total").alias("n"), quantile(0.25, "q1"), quantile(0.5, "median"), quantile(0.75, "q3"))
 
 
 def performance_band(joined: DataFrame) -> DataFrame:

@@ -22,9 +22,14 @@ from allocata.sources.landing import Registry
 
 SCHEMAS = {
     "commitments": "id string, pension_fund_id string, fund_key string, fund_name_raw string, vintage_year int, commitment_mm double, capital_called_mm double, capital_distributed_mm double, remaining_value_mm double, net_irr double, net_multiple double, dpi double, as_of_date date, extraction_method string, extraction_confidence double, created_at string, updated_at string",
-    "funds": "fund_key string, fund_name string, fund_name_raw string, general_partner string, vintage_year int, asset_class string, sub_strategy string, created_at string",
+    "funds": "fund_key string, fund_name string, fund_name_raw string, general_partner string, vintage_year int, asset_class string, sub_strategy string, created_at string, updated_at string",
     "fund_aliases": "alias string, fund_key string",
     "extraction_runs": "id string, pension_fund_id string, started_at string, completed_at string, status string, errors string, records_extracted int, records_updated int, records_flagged int, source_hash string",
+    "gp_aliases": "alias string, canonical_name string",
+    "pension_funds": "id string, name string, full_name string, state string",
+    "consulting_firms": "id string, name string, name_normalized string, firm_type string, headquarters string, website_url string, notes string",
+    "consulting_firm_aliases": "consulting_firm_id string, alias string",
+    "consulting_engagements": "id string, consulting_firm_id string, pension_fund_id string, role string, mandate_scope string, start_date date, end_date date, is_current boolean, annual_fee_usd double, fee_basis string, contract_term_years double, source_url string",
     "review_queue": "commitment_id string, flag_type string, flag_detail string, resolved boolean",
 }
 RECORD = ("fund_name_raw", "general_partner", "vintage_year", "commitment_mm", "capital_called_mm", "capital_distributed_mm", "remaining_value_mm", "net_irr", "net_multiple", "dpi", "as_of_date", "extraction_method", "extraction_confidence")
@@ -85,11 +90,16 @@ class Pipeline:
         new = rows.where("match_type = 'new'").groupBy("fund_key").agg(F.min_by(F.struct("fund_name_raw", "general_partner", "vintage_year"), "fund_name_raw").alias("f")).select("fund_key", "f.*")
         named = new.withColumn("s", strategy_class(F.col("fund_name_raw"), DEFAULT_STRATEGY, KNOWN_MANAGERS)).select(
             "fund_key", normalized_name(F.col("fund_name_raw")).alias("fund_name"), "fund_name_raw", F.coalesce("general_partner", manager_from_name(normalized_name(F.col("fund_name_raw")), KNOWN_MANAGERS)).alias("general_partner"),
-            "vintage_year", "s.asset_class", "s.sub_strategy", F.lit(now).alias("created_at"),
+            "vintage_year", "s.asset_class", "s.sub_strategy", F.lit(now).alias("created_at"), F.lit(now).alias("updated_at"),
         )
+        # A fund that a later record completes (manager, vintage) is updated; its names and its creation stay those of the first.
+        seen = rows.where("match_type <> 'new'").groupBy("fund_key").agg(F.min("general_partner").alias("general_partner"), F.min("vintage_year").alias("vintage_year"))
+        stated = seen.join(funds.select("fund_key", "fund_name", "fund_name_raw", "asset_class", "sub_strategy", "created_at"), "fund_key").withColumn("updated_at", F.lit(now)).select(*named.columns)
         before = self.read("commitments").select("id")
         updated = rows.select("id").distinct().join(before, "id", "left_semi").count()
-        self.tables["funds"].write(cut(store.insert_ignore(funds, named, ["fund_key"])))
+        self.tables["funds"].write(cut(store.upsert(funds, named.unionByName(stated), ["fund_key"], keep=("fund_name", "fund_name_raw", "created_at"), fill=True)))
+        managers = named.where("general_partner IS NOT NULL").select(F.col("general_partner").alias("alias"), normalized_name(F.col("general_partner")).alias("canonical_name"))
+        self.tables["gp_aliases"].write(cut(store.insert_ignore(self.read("gp_aliases"), managers, ["alias"])))
         aliases = rows.where("match_type = 'fuzzy'").select(F.col("fund_name_raw").alias("alias"), "fund_key")
         self.tables["fund_aliases"].write(cut(store.insert_ignore(self.read("fund_aliases"), aliases, ["alias"])))
         self.tables["commitments"].write(cut(store.upsert(self.read("commitments"), rows, ["id"], keep=("created_at",), recency=F.col("extraction_confidence"))))
@@ -97,3 +107,30 @@ class Pipeline:
         queue = self.read("review_queue")
         self.tables["review_queue"].write(cut(store.insert_ignore(queue, flags.withColumn("resolved", F.lit(False)), ["commitment_id", "flag_type", "flag_detail"])))
         return {"records_extracted": rows.count(), "records_updated": updated, "records_flagged": flags.count()}
+
+    def seed(self, tables: dict[str, DataFrame]) -> dict[str, int]:
+        """Loads a seed of investors, firms, aliases and engagements; known values are never erased. Rows of each after loading."""
+        firms = tables["consulting_firms"].select("id", "name", "name_normalized", "firm_type", "headquarters", "website_url", "notes")
+        self._merge_rows("pension_funds", tables["pension_funds"], ["id"])
+        self._merge_rows("consulting_firms", firms, ["id"])
+        known = self.read("consulting_firm_aliases")
+        self.tables["consulting_firm_aliases"].write(cut(store.insert_ignore(known, tables["consulting_firm_aliases"], ["alias"])))
+        self.engage(tables["consulting_engagements"])
+        return {n: self.read(n).count() for n in ("pension_funds", "consulting_firms", "consulting_firm_aliases", "consulting_engagements")}
+
+    def _merge_rows(self, name: str, rows: DataFrame, keys: list[str], keep: tuple[str, ...] = ()) -> None:
+        self.tables[name].write(cut(store.upsert(self.read(name), rows, keys, keep=keep, fill=True)))
+
+    def engage(self, records: DataFrame) -> None:
+        """Engagements merged by (firm, investor, role, start), missing starts compared as equal; the id stays that of the first."""
+        keys = ["consulting_firm_id", "pension_fund_id", "role", "start_date"]
+        self._merge_rows("consulting_engagements", records.withColumn("id", store.natural_key(*keys)), keys, keep=("id",))
+
+    def engage_named(self, records: DataFrame) -> int:
+        """Engagements of a source that names its firms: resolved by name, alias or likeness, fuzzy names become aliases; the number of records without a firm."""
+        firms, aliases = self.read("consulting_firms"), self.read("consulting_firm_aliases")
+        found = cut(resolve.firm_matches(records.select("firm_name"), firms, aliases.select(F.col("consulting_firm_id").alias("firm_id"), "alias")))
+        fuzzy = found.where("match_type = 'fuzzy'").select(F.col("firm_id").alias("consulting_firm_id"), F.col("firm_name").alias("alias"))
+        self.tables["consulting_firm_aliases"].write(cut(store.insert_ignore(aliases, fuzzy, ["alias"])))
+        self.engage(records.join(found.select("firm_name", F.col("firm_id").alias("consulting_firm_id")), "firm_name"))
+        return records.join(found, "firm_name", "left_anti").count()

@@ -33,15 +33,7 @@ def cross_link_tiers(spark, sf_dir):
     return R.cross_link_tiers(_facts(spark, sf_dir))
 
 
-#: Investors that have a column in `investor_pivot`, whose SQL names its columns; `investor_matrix` has one for every investor.
-PIVOT_INVESTORS = ["traxyaensa_trs", "stazeivold_pers", "rilweceirt_sib", "boubeixthu_mpt"]
-
-
 def investor_pivot(spark, sf_dir):
-    return R.investor_pivot(_star(spark, sf_dir), PIVOT_INVESTORS)
-
-
-def investor_matrix(spark, sf_dir):
     """The matrix with a column for every investor that has commitments, as many as the data hold."""
     held = table(spark, sf_dir, "pension_funds", "id").join(_facts(spark, sf_dir).select(F.col("pension_fund_id").alias("id")), "id", "left_semi")
     # Column names must be known to plan the query, so the ids, one an investor, come to the driver.
@@ -226,7 +218,7 @@ def method_matrix(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        fund_summary, top_funds, cross_link_tiers, investor_pivot, investor_matrix, performance_by_vintage, vintage_having, gp_leaderboard, commitment_trends, gp_penetration, investor_overview, capital_flows,
+        fund_summary, top_funds, cross_link_tiers, investor_pivot, performance_by_vintage, vintage_having, gp_leaderboard, commitment_trends, gp_penetration, investor_overview, capital_flows,
         strategy_having, strategy_histogram, widely_held, headline, global_stats, irr_quartiles, performance_band, name_pattern_filter, optional_filters, text_search, linked_comparison, unlinked_rows,
         left_join_lookup, alias_listing, latest_snapshot, last_non_null, top2_per_group, distinct_label, quota_sample, capped_selection, stratified_sample, reup_flag, spread_report,
         multiple_divergence, vintage_inconsistency, range_flags, low_completeness, ingest_flags, completeness, coverage_gap, orphan_commitments, status_counts, distinct_documents, method_matrix,
@@ -255,7 +247,6 @@ QUALIFY row_number() OVER (PARTITION BY pension_fund_id, fund_id ORDER BY as_of_
 _SPREAD = """
 SELECT f.fund_name, count(DISTINCT c.pension_fund_id) AS investors, min(c.net_multiple) AS least, max(c.net_multiple) AS most, max(c.net_multiple) - min(c.net_multiple) AS spread
 FROM commitments c JOIN funds f ON c.fund_id = f.id JOIN pension_funds p ON c.pension_fund_id = p.id WHERE c.net_multiple IS NOT NULL GROUP BY f.fund_name HAVING count(DISTINCT c.pension_fund_id) > 1"""
-_PIVOT = ", ".join(f"max(CASE WHEN c.pension_fund_id = '{i}' THEN c.commitment_mm END) AS {i}_mm" for i in PIVOT_INVESTORS)
 _FAMILY = "f.fund_name"
 _FAMILY = f"trim(regexp_replace({_FAMILY}, ',?\\s*(L\\.?P\\.?\\d?|LLC|Ltd|SCSp|S\\.C\\.Sp\\.?|Cooperatief U\\.A\\.?)$', '', 'i'))"
 for _p in (r"\s+(Fund\s+)?[IVXLC]+(-[A-Z0-9]+)?(\s+\(.*\))?\s*$", r"\s+Fund\s*$", r"\s+\d{4}\s*$", r"\s+[A-D]\s*$"):
@@ -268,8 +259,7 @@ ORACLE = {
     "fund_summary": _SUMMARY,
     "top_funds": f"SELECT * FROM ({_SUMMARY}) WHERE total_commitment_mm > 0 ORDER BY total_commitment_mm DESC, fund_id LIMIT 100",
     "cross_link_tiers": "SELECT count(*) AS funds, count(*) FILTER (n >= 2) AS held_by_2, count(*) FILTER (n >= 3) AS held_by_3, count(*) FILTER (n >= 4) AS held_by_4, count(*) FILTER (n >= 5) AS held_by_5 FROM (SELECT count(DISTINCT pension_fund_id) AS n FROM commitments GROUP BY fund_id)",
-    "investor_pivot": f"SELECT c.fund_id, min(f.fund_name) AS fund_name, {_PIVOT}, count(DISTINCT c.pension_fund_id) AS investor_count, {_avg('c.net_irr')} AS avg_irr, {_avg('c.net_multiple')} AS avg_multiple FROM {_J} GROUP BY c.fund_id HAVING count(DISTINCT c.pension_fund_id) >= 2",
-    "investor_matrix": f"""
+    "investor_pivot": f"""
 WITH s AS (SELECT c.fund_id, min(f.fund_name) AS fund_name, count(DISTINCT c.pension_fund_id) AS investor_count, {_avg('c.net_irr')} AS avg_irr, {_avg('c.net_multiple')} AS avg_multiple FROM {_J} GROUP BY c.fund_id HAVING count(DISTINCT c.pension_fund_id) >= 2),
 m AS (PIVOT (SELECT c.fund_id, c.pension_fund_id || '_mm' AS investor, c.commitment_mm FROM commitments c JOIN pension_funds p ON c.pension_fund_id = p.id) ON investor USING max(commitment_mm) GROUP BY fund_id)
 SELECT * FROM s JOIN m USING (fund_id)""",
@@ -319,7 +309,7 @@ UNION ALL SELECT id, 'Negative net multiple' FROM commitments WHERE net_multiple
 UNION ALL SELECT id, 'Vintage year' FROM commitments WHERE vintage_year < 1980 OR vintage_year > {VINTAGE_TO}""",
     "low_completeness": f"SELECT id AS commitment_id, ({_FILLED})::VARCHAR || ' of 6 fields' AS flag_detail FROM commitments WHERE ({_FILLED}) / 6.0 < 0.33",
     "ingest_flags": "SELECT id AS commitment_id, 'low_confidence' AS flag_type FROM commitments WHERE extraction_confidence < 0.85",
-    "completeness": " UNION ALL ".join(f"SELECT '{x}' AS field, count(*) AS n_rows, count({x}) AS n_present, count({x}) * CAST(100.0 AS DOUBLE) / count(*) AS percent FROM commitments" for x in _FIELDS),
+    "completeness": " UNION ALL ".join(f"SELECT '{x}' AS field, count(*) AS n_rows, count({x}) AS n_present, count({x}) * CAST(100.0 AS DOUBLE) / count(*) AS percent FROM commitments" for x in Q.PROFILE_FIELDS),
     "coverage_gap": "SELECT id AS pension_fund_id, name AS investor FROM pension_funds p WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.pension_fund_id = p.id)",
     "orphan_commitments": "SELECT id, fund_id FROM commitments c WHERE fund_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM funds f WHERE f.id = c.fund_id)",
     "status_counts": "SELECT pension_fund_id, lower(coalesce(status, 'unknown')) AS status, count(*) AS n FROM commitments GROUP BY 1, 2",

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoints that nothing refers to any more are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -34,11 +36,13 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder (spark.checkpoint.dir); set a local one only where none is named."""
+    """Use the cluster's shared folder (spark.checkpoint.dir); set a local one only on a local master where none is named."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not shared and not sc.master.startswith("local["):
+        raise ValueError("a cluster must name the shared folder for intermediate tables in spark.checkpoint.dir")
     sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "allocata-checkpoints"))
 
 

@@ -77,15 +77,3 @@ def markdown_table(df: DataFrame, title: str, limit: int = 50) -> str:
     rows = df.limit(limit).collect()
     lines = [f"## {title}", "", "| " + " | ".join(head) + " |", "|" + "---|" * len(head)]
     return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]) + "\n"
-
-
-def meeting_report(events: DataFrame, limit: int = 200) -> str:
-    """Text report of the first `limit` meeting events, under a line per document."""
-    out: list[str] = []
-    document = None
-    for r in events.orderBy("doc_id", "event_type", "at").limit(limit).collect():
-        if r["doc_id"] != document:
-            document = r["doc_id"]
-            out.append(f"Document {document}")
-        out.append(f"  {r['event_type']}: " + ", ".join(f"{k}={v}" for k, v in sorted(r["details"].items())))
-    return "\n".join(out) + "\n"

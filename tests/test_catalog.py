@@ -50,7 +50,7 @@ def test_runs(spark, name):
 
 @needs_data
 def test_matrix_has_every_investor_with_commitments(spark):
-    df = catalog.QUERIES["investor_matrix"](spark, SF)
+    df = catalog.QUERIES["investor_pivot"](spark, SF)
     _, held = second_engine("SELECT DISTINCT p.id FROM pension_funds p JOIN commitments c ON c.pension_fund_id = p.id")
     assert {c for c in df.columns if c.endswith("_mm")} == {f"{i}_mm" for (i,) in held} and len(held) > 4
     _, cells = second_engine("SELECT c.pension_fund_id AS a, c.fund_id AS b, max(c.commitment_mm) AS c FROM commitments c JOIN funds f ON c.fund_id = f.id JOIN pension_funds p ON c.pension_fund_id = p.id GROUP BY 1, 2 HAVING max(c.commitment_mm) IS NOT NULL")

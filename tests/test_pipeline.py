@@ -1,7 +1,8 @@
 import datetime as dt
 
-from allocata.cli import main
+from allocata.cli import main, report
 from allocata.pipeline import Pipeline
+from allocata.sources.adapters import registry
 from allocata.sources.landing import Registry, Source
 from tests.conftest import DATA, needs_data
 
@@ -36,4 +37,64 @@ def test_command_line(spark, capsys, tmp_path):
     assert "fund_summary" in capsys.readouterr().out
     for command in (["quality"], ["summary-stats"], ["status"], ["cross-fund-report"], ["query", "headline"], ["spot-check", "--count", "5"]):
         main(["--data", f"{DATA}/sf0.001", *command])
-    assert "Completeness" in capsys.readouterr().out
+    assert "Field Completeness" in capsys.readouterr().out
+
+
+SEED = """
+pension_funds: [{id: calstrs, name: CalSTRS, state: CA}]
+consulting_firms: [{id: meketa, name: "Meketa Group, LLC", firm_type: general, aliases: [Meketa]}]
+engagements:
+  - {consulting_firm_id: meketa, pension_fund_id: calstrs, role: general_investment_consultant, mandate_scope: all, is_current: true}
+  - {consulting_firm_id: meketa, pension_fund_id: calstrs, role: general_investment_consultant, mandate_scope: equity, is_current: true}
+"""
+
+
+def test_registered_sources_and_commands(spark, tmp_path, capsys):
+    """A landed page of words is read, stored, resolved and audited from the command line; an absent source is its own error."""
+    words = [("Alder", 5.0, 100.0), ("Fund", 30.0, 100.0), ("IV", 60.0, 100.0), ("2015", 242.0, 100.0), ("$7", 292.0, 100.0), ("0,000,000", 300.0, 100.0), ("$50,000,000", 362.0, 100.0), ("$20,000,000", 432.0, 100.0), ("$60,000,000", 502.0, 100.0), ("0.84", 562.0, 100.0), ("Total", 5.0, 112.0)]
+    more = [("Aldr", 5.0, 124.0), *[(t if t != "2015" else "2015", x, 124.0) for t, x, _ in words[1:10]]]
+    rows = [("d", 1, 612.0, i, *w) for i, w in enumerate(words + more)]
+    landed = str(tmp_path / "landing")
+    spark.createDataFrame(rows, "doc_id string, page int, page_width double, idx int, text string, x0 double, top double").write.parquet(f"{landed}/calstrs/words")
+    spark.createDataFrame([("d", 1, "As of June 30, 2024")], "doc_id string, page int, text string").write.parquet(f"{landed}/calstrs/pages")
+    (tmp_path / "landing" / "calpers").mkdir()
+    (tmp_path / "landing" / "calpers" / "a.html").write_text("<p>As of March 31, 2024</p><table><tr><th>n</th></tr><tr><th>m</th></tr><tr><td>Birch Fund I</td><td>2019</td><td>$10,000,000</td><td>$5,000,000</td><td>$1,000,000</td><td>$8,000,000</td><td>12.5%</td></tr></table>")
+    spark.createDataFrame([("t", 1, "Private Markets\nCedar Fund II 2018 $5.0 4.0 1.0 5.0 9.9 1.5"), ("u", 1, "Net Asset Value Unfunded Capital\nPrivate Equity $ 5,000,000 $ 1,000,000")], "doc_id string, page int, text string").write.parquet(f"{landed}/texas_trs/pages")
+    (tmp_path / "seed.yaml").write_text(SEED)
+    at = ["--store", str(tmp_path / "store")]
+    main([*at, "run", "--landing", landed, "--all"])
+    out = capsys.readouterr().out
+    assert "calstrs: status completed, records_extracted 2" in out and "calpers: status completed, records_extracted 1" in out and "texas_trs: status completed, records_extracted 2" in out and "oregon: status error" in out
+    pipe = Pipeline(spark, str(tmp_path / "store"), registry())
+    facts = {(r["pension_fund_id"], r["fund_name_raw"]): r for r in pipe.read("commitments").collect()}
+    one = facts["calstrs", "Alder Fund IV"]
+    assert (one["commitment_mm"], one["net_irr"], one["net_multiple"], str(one["as_of_date"]), one["vintage_year"]) == (70.0, 0.0084, 1.6, "2024-06-30", 2015)
+    assert facts["calpers", "Birch Fund I"]["remaining_value_mm"] == 7.0 and facts["texas_trs", "Cedar Fund II"]["net_irr"] == 0.099 and facts["texas_trs", "Texas TRS Private Equity Portfolio (Summary)"]["commitment_mm"] == 6.0
+    main([*at, "seed-consultants", str(tmp_path / "seed.yaml")])
+    main([*at, "seed-consultants", str(tmp_path / "seed.yaml")])
+    assert pipe.read("consulting_engagements").count() == 1
+    for command in ("resolve-fuzzy", "audit-links", "consultants"):
+        main([*at, command])
+    out = capsys.readouterr().out
+    assert "consulting_firms: 1" in out and "Auto-resolved: " in out and "Total fuzzy aliases: " in out and "Meketa Group, LLC: general_investment_consultant" in out
+    named = spark.createDataFrame([("Meketa Groupp", "calstrs", "audit", None, None, None, None, None, None, None, None), ("Nobody", "calstrs", "audit", None, None, None, None, None, None, None, None)], "firm_name string, pension_fund_id string, role string, mandate_scope string, start_date date, end_date date, is_current boolean, annual_fee_usd double, fee_basis string, contract_term_years double, source_url string")
+    assert pipe.engage_named(named) == 1 and pipe.read("consulting_engagements").count() == 2 and pipe.read("consulting_firm_aliases").where("alias = 'Meketa Groupp'").count() == 1
+    assert {s.ident for s in registry().all()} == {"calpers", "calstrs", "wsib", "oregon", "ny_common", "texas_trs", "florida_sba"} and len(registry().defaults()) == 5
+
+
+@needs_data
+def test_reports(spark):
+    for kind, wanted in (("quality", "## Review Queue"), ("cross-fund-report", "## Largest IRR Divergences"), ("summary-stats", "Cross-system entity resolution:"), ("dataset", "## Pension Funds Covered")):
+        assert wanted in report(spark, f"{DATA}/sf0.001", kind)
+
+
+def test_irr_quartiles_equal_interpolation(spark):
+    import numpy as np
+
+    from allocata.operators.relational import irr_quartiles
+
+    rates = [0.1, 0.1, 0.2, 0.4, 0.9, -0.3, 0.1]
+    df = spark.createDataFrame([("a", r) for r in rates] + [("b", 0.5), ("b", 5.0), ("b", None)], "pension_fund_id string, net_irr double")
+    got = {r["pension_fund_id"]: r for r in irr_quartiles(df).collect()}
+    assert [got["a"][k] for k in ("q1", "median", "q3")] == [round(float(np.percentile(rates, p)), 9) for p in (25, 50, 75)]
+    assert got["b"]["n"] == 1 and got["b"]["q1"] == got["b"]["q3"] == 0.5

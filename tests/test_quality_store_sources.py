@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from allocata import sinks
+from allocata import reports, sinks
 from allocata.operators import quality as Q
 from allocata.operators import store as S
 from allocata.operators import textevents as T
@@ -169,7 +169,10 @@ def test_events(spark):
     people = {(r["name"], r["title"], r["role"]) for r in T.attendance(docs).collect()}
     assert ("Jane Roe", "Vice Chair", "member") in people and ("John Doe", "", "member") in people and ("Ann Lee", "Portfolio Manager", "staff") in people
     assert T.events(docs.limit(0)).count() == 0
-    assert "Document 1" in sinks.meeting_report(T.events(docs))
+    heads = docs.select("doc_id", T.system_of(F.col("text")).alias("system"), T.meeting_date(F.col("text")).alias("meeting_date"))
+    text = reports.meeting_report(heads, T.attendance(docs), T.section_spans(docs), T.events(docs.distinct()), 1)
+    assert "INVESTMENT COMMITMENTS (1)" in text and "History: Relationship since 2005, 6 prior funds, $1,200M" in text and "Outcome: Carried Unanimously" in text and "[sentiment: negative]" in text
+    assert "Total events extracted: 0" in reports.meeting_report(heads, T.attendance(docs), T.section_spans(docs), T.events(docs), 3)
 
 
 def test_event_details(spark):
