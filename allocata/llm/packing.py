@@ -1,15 +1,18 @@
-"""Filling fixed-capacity containers with items: harmonic packing over exact length classes.
+"""Filling fixed-capacity containers with items: harmonic packing.
 
-A text longer than the capacity is split into full containers and a rest; every other text stays whole. Harmonic
-packing puts lengths into classes and fills the bins of a class with a fixed count of documents, so a document's bin
-follows from its rank in its class alone and workers fill bins independently. Here every length is its own class:
-lengths are at most the capacity, so the corpus reduces to a histogram of at most `capacity` rows, whatever its size.
-On that histogram the bin patterns (how many documents of each length a bin holds) are laid out largest first, each pattern repeated
-as often as its lengths last; classes of lengths in (capacity / (k + 1), capacity / k] come out as k-fold patterns
-whose open room is topped up from the smaller classes. Documents then look up (length, rank) in the pattern table.
+A text longer than the capacity is split into full containers and a rest; every other text stays whole. Lengths are
+put into classes, and the bins of a class take a fixed count of documents, so a document's bin follows from its rank in its
+class alone and workers fill bins independently. Two ways of classes:
 
-Ranks inside a length are taken per (length, salt) with offsets from the small table of salted counts, so a length
-that a third of all documents share is ranked by many tasks.
+* `harmonic`: the reciprocal classes (capacity / (k + 1), capacity / k], k documents a bin. It needs no plan, but leaves
+  the room that k documents of a class do not fill (p9_harmonic; the loss is in the README).
+* `topped`: every length is its own class, and the room left in a bin is filled with documents of smaller classes, again
+  in fixed counts. Lengths are at most the capacity, so the corpus reduces to a histogram of at most `capacity` rows,
+  whatever its size; on it the bin patterns (how many documents of each length) are laid out largest first, each repeated as
+  often as its lengths last. Documents then look up (length, rank) in the table of patterns. This is p9_bins.
+
+Ranks inside a class are taken per (class, salt) with offsets from the table of salted counts; a class has as many salts
+as it takes to keep about `ROWS_A_SALT` rows each, so a length that a third of all documents share is ranked by many tasks.
 
 Defined results: an empty or null text has size 0, takes no room and no container (null); ties in length are broken by
 a hash and the id; repeated rows must differ in id; an empty table gives an empty result; other columns are ignored.
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from allocata.session import cut
 
 CAPACITY = 2048
-SALTS = 32
+ROWS_A_SALT = 100_000
 
 
 def patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -71,31 +74,39 @@ def pattern_table(spark: SparkSession, histogram: dict[int, int], capacity: int
     return spark.createDataFrame(rows, "length long, first_rank long, last_rank long, per_bin long, first_bin long")
 
 
-def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
+def reciprocal_table(spark: SparkSession, histogram: dict[int, int]) -> DataFrame:
+    """The same for reciprocal classes: class k holds k documents a bin."""
+    rows, bin_no = [], 0
+    for k, n in sorted(histogram.items()):
+        rows.append((k, 0, n - 1, k, bin_no))
+        bin_no += -(-n // k)
+    return spark.createDataFrame(rows, "length long, first_rank long, last_rank long, per_bin long, first_bin long")
+
+
+def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, method: str = "topped") -> DataFrame:
     """(key, piece, first_token, n_tokens, container_id) from (key, n_tokens)."""
     spark = sizes.sparkSession
     n = F.col("n_tokens")
+    length = F.least(n - F.col("piece") * capacity, F.lit(capacity)).cast("long")
     # Sizes are costly to make (they come from the tokenizer) and are read twice.
     pieces = cut(
         sizes.select(key, n, F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(n / capacity) - 1, F.lit(0)))).alias("piece"))
-        .select(key, F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).cast("long").alias("first_token"), F.least(n - F.col("piece") * capacity, F.lit(capacity)).cast("long").alias("length"))
-        .withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+        .select(key, F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).cast("long").alias("first_token"), length.alias("length"))
+        .withColumn("class", F.when(F.col("length") > 0, F.floor(F.lit(capacity) / F.col("length"))).otherwise(0).cast("long") if method == "harmonic" else F.col("length"))
     )
-    # At most (capacity + 1) * SALTS rows: bounded by the parameters, not by the corpus.
-    salted = pieces.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
-    counts = salted.collect()
-    histogram: dict[int, int] = {}
-    offsets = []
-    for r in sorted(counts, key=lambda r: (r["length"], r["salt"])):
-        offsets.append((r["length"], r["salt"], histogram.get(r["length"], 0)))
-        histogram[r["length"]] = histogram.get(r["length"], 0) + r["n"]
+    # At most capacity + 1 rows: bounded by the parameter, not by the corpus.
+    histogram = {r["class"]: r["n"] for r in pieces.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
+    salts = spark.createDataFrame([(c, -(-n // ROWS_A_SALT)) for c, n in histogram.items()], "class long, salts long")
     histogram.pop(0, None)
-    start = spark.createDataFrame(offsets, "length long, salt int, start long")
-    table = pattern_table(spark, histogram, capacity)
-    rank = F.row_number().over(Window.partitionBy("length", "salt").orderBy(F.xxhash64(key), F.col(key), F.col("piece"))) - 1
-    ranked = pieces.withColumn("r", rank).join(F.broadcast(start), ["length", "salt"]).withColumn("rank", F.col("r") + F.col("start"))
+    table = (reciprocal_table(spark, histogram) if method == "harmonic" else pattern_table(spark, histogram, capacity)).withColumnRenamed("length", "class")
+    salted = pieces.join(salts, "class").withColumn("salt", F.pmod(F.xxhash64(key), F.col("salts")))
+    before = Window.partitionBy("class").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a class and salt.
+    start = salted.groupBy("class", "salt").agg(F.count(F.lit(1)).alias("n")).select("class", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    rank = F.row_number().over(Window.partitionBy("class", "salt").orderBy(F.xxhash64(key), F.col(key), F.col("piece"))) - 1
+    ranked = salted.withColumn("r", rank).join(start, ["class", "salt"]).withColumn("rank", F.col("r") + F.col("start"))
     t = table.alias("t")
     # A length has few patterns; the range condition picks the one of the rank.
-    placed = ranked.alias("x").join(F.broadcast(t), (F.col("x.length") == F.col("t.length")) & F.col("x.rank").between(F.col("t.first_rank"), F.col("t.last_rank")), "left")
+    placed = ranked.alias("x").join(t, (F.col("x.class") == F.col("t.class")) & F.col("x.rank").between(F.col("t.first_rank"), F.col("t.last_rank")), "left")
     container = F.col("t.first_bin") + F.floor((F.col("x.rank") - F.col("t.first_rank")) / F.col("t.per_bin"))
     return placed.select(F.col(f"x.{key}").alias(key), "x.piece", "x.first_token", F.col("x.length").alias("n_tokens"), container.cast("long").alias("container_id"))

@@ -65,6 +65,11 @@ def p9_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(encode.token_counts(_documents(spark, sf_dir)))
 
 
+def p9_harmonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by reciprocal classes alone."""
+    return packing.pack(encode.token_counts(_documents(spark, sf_dir)), method="harmonic")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.lookalike_pairs(_documents(spark, sf_dir))
 
@@ -73,7 +78,7 @@ def p10_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.canonical_texts(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_managers, p2_found, p2_fused, p3_found, p3_matches, p8_ids, p9_bins, p10_found, p10_canonical)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_managers, p2_found, p2_fused, p3_found, p3_matches, p8_ids, p9_bins, p9_harmonic, p10_found, p10_canonical)}
 
 _QUARTER = "(year(as_of_date)::VARCHAR || 'Q' || quarter(as_of_date)::VARCHAR)"
 _P2 = f"""
