@@ -65,6 +65,15 @@ def mask_counts(counts: DataFrame, load: Sequence[str]) -> DataFrame:
     )
 
 
+def rare_masks(masks: DataFrame, rare: float = 0.01) -> DataFrame:
+    """(column_name, mask, n_rows, n_loads, share, example): masks that hold less than `rare` of a column's non-null rows; example is the smallest value of that mask."""
+    example = F.coalesce(F.min("min_text"), F.min("min_number").cast("string"))
+    found = masks.where(F.col("mask") != NULL_MASK).groupBy("column_name", "mask").agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_loads"), example.alias("example"))
+    # One row a column and mask.
+    share = F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy("column_name"))
+    return found.withColumn("share", share).where(F.col("share") < rare).select("column_name", "mask", "n_rows", "n_loads", "share", "example")
+
+
 def column_profile(masks: DataFrame, load: Sequence[str], rare: float = 0.01) -> DataFrame:
     """One row per load and column: nulls, distinct values, range, masks, the dominant mask and rare-mask rows.
 

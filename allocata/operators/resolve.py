@@ -154,7 +154,9 @@ def firm_matches(names: DataFrame, firms: DataFrame, aliases: DataFrame) -> Data
     def grams(form: str) -> Column:
         return F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(form) - 1, F.lit(1))), lambda i: F.substring(form, i, 2))))
 
-    met = rest.select("firm_name", "form", grams("form").alias("g")).join(f.select("firm_id", "firm_form", grams("firm_form").alias("g")), "g").select("firm_name", "form", "firm_id", "firm_form").distinct()
+    # Names of so different lengths cannot reach the ratio; most pairs end here, before anything is made distinct.
+    near = 2.0 * F.least(F.length("form"), F.length("firm_form")) > FIRM_MATCH * (F.length("form") + F.length("firm_form"))
+    met = rest.select("firm_name", "form", grams("form").alias("g")).join(f.select("firm_id", "firm_form", grams("firm_form").alias("g")), "g").where(near).select("firm_name", "form", "firm_id", "firm_form").distinct()
     scored = met.withColumn("score", indel_ratio(F.col("form"), F.col("firm_form"))).where(F.col("score") > FIRM_MATCH)
     fuzzy = scored.groupBy("firm_name").agg(F.min(F.struct(-F.col("score"), "firm_id"))["firm_id"].alias("firm_id")).withColumn("match_type", F.lit("fuzzy"))
     return exact.unionByName(by_alias).unionByName(fuzzy)

@@ -24,9 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from allocata.session import cut
+
 # Factor from a recorded unit to millions of dollars, and to a fraction.
 AMOUNT_UNITS = {"usd": 1e-6, "thousand": 1e-3, "million": 1.0, "billion": 1e3}
 RATE_UNITS = {"fraction": 1.0, "percent": 1e-2, "bp": 1e-4}
+# Share of a fund that an investor usually holds. Amount units lie a thousand apart (dollars, thousands, millions, billions), so
+# a source's usual share may be up to about thirty times smaller or larger (0.0016 to 1.6) before another unit fits better.
 TYPICAL_SHARE = 0.05
 NO_DATA = ("", "-", "--", "—", "–", "n/a", "na", "n/m", "nm", "not disclosed", "none", "null", "nan", "n/d")
 
@@ -212,7 +216,8 @@ def converted_rate(value: Column, unit: Column) -> Column:
 
 def record_units(commitments: DataFrame, funds: DataFrame, disclosures: DataFrame) -> DataFrame:
     """(record_id, field, recorded, unit, value, unique): every amount in millions and every rate as a fraction, with its recorded unit."""
-    sources = source_units(commitments, funds, disclosures)
+    # A row a source, used three times below; kept, so that the records are not read again for each.
+    sources = cut(source_units(commitments, funds, disclosures))
     item = F.array(
         F.struct(F.lit("commitment_mm").alias("field"), F.col("commitment_mm").alias("recorded"), F.col("amount_unit").alias("unit"), converted_amount(F.col("commitment_mm"), F.col("amount_unit")).alias("value"), F.col("amount_unique").alias("is_unique")),
         F.struct(F.lit("net_irr").alias("field"), F.col("net_irr").alias("recorded"), F.col("rate_unit").alias("unit"), converted_rate(F.col("net_irr"), F.col("rate_unit")).alias("value"), F.col("rate_unique").alias("is_unique")),

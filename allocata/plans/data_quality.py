@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from allocata.operators import profile, snapshots, spikes, units
 from allocata.operators.ranking import quarter
-from allocata.session import table
+from allocata.session import cut, table
 
 SHIFT_COLUMNS = ("net_irr", "remaining_value_mm", "capital_distributed_mm")
 LOAD = ("method", "quarter")
@@ -25,11 +25,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shifts.select(F.col("method").alias("extraction_method"), F.col("quarter").alias("load_quarter"), "column_name", "measure_name")
 
 
-def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _all_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks of every column of every row; undated rows of a method are a load of their own."""
     commitments = table(spark, sf_dir, "commitments")
-    dated, load = _loads(commitments)
-    counts = profile.value_counts(dated, load, [c for c in commitments.columns if c != "extraction_method"])
-    return profile.column_profile(profile.mask_counts(counts, LOAD), LOAD).withColumnsRenamed({"load_method": "extraction_method", "load_quarter": "quarter"})
+    load = {"method": F.col("extraction_method"), "quarter": quarter(F.col("as_of_date"))}
+    return profile.mask_counts(profile.value_counts(commitments, load, commitments.columns), LOAD)
+
+
+def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.column_profile(_all_masks(spark, sf_dir), LOAD).withColumnsRenamed({"load_method": "extraction_method", "load_quarter": "quarter"})
+
+
+def p4_rare_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The masks that violate a column's dominant patterns, with an example of each."""
+    return profile.rare_masks(_all_masks(spark, sf_dir))
 
 
 def p4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +78,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     commitments, funds, disclosures = _unit_inputs(spark, sf_dir)
-    return spikes.implausible(commitments, units.source_units(commitments, funds, disclosures))
+    return spikes.implausible(commitments, cut(units.source_units(commitments, funds, disclosures)))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +90,7 @@ def p7_jumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (p4_found, p4_profile, p4_divergence, p5_found, p6_found, p6_units, p6_sources, p7_found, p7_readings, p7_jumps)
+    f.__name__: f for f in (p4_found, p4_profile, p4_rare_masks, p4_divergence, p5_found, p6_found, p6_units, p6_sources, p7_found, p7_readings, p7_jumps)
 }
 
 _QUARTER = "(year(as_of_date)::VARCHAR || 'Q' || quarter(as_of_date)::VARCHAR)"

@@ -153,3 +153,13 @@ def test_divergence_of_every_profiled_column(spark):
     sf = f"{DATA}/sf0.001"
     divergence, whole = (data_quality.QUERIES[q](spark, sf).select("column_name").distinct().collect() for q in ("p4_divergence", "p4_profile"))
     assert {r[0] for r in divergence} == {r[0] for r in whole} and len(whole) == 20
+
+
+def test_rare_masks(spark):
+    """A value of another shape is named with its mask, however few there are; nulls are none."""
+    rows = [("m", "2023Q1", f"AB-{i:03d}") for i in range(300)] + [("m", "2023Q2", "x/1"), ("m", None, None), (None, None, "")]
+    df = spark.createDataFrame(rows, "method string, quarter string, code string")
+    masks = profile.mask_counts(profile.value_counts(df, {"method": F.col("method"), "quarter": F.col("quarter")}, ["code"]), ("method", "quarter"))
+    assert {(r["mask"], r["n_rows"], r["example"]) for r in profile.rare_masks(masks).collect()} == {("a/9", 1, "x/1"), ("", 1, "")}
+    assert profile.column_profile(masks, ("method", "quarter")).count() == 4
+    assert profile.rare_masks(masks.limit(0)).count() == 0
