@@ -247,6 +247,27 @@ g AS (SELECT a.key AS later, b.key AS earlier, a.key AS x, b.canonical AS y, a.s
   AND (len(a.t1) = 0 OR len(b.t2) = 0 OR len(list_intersect(a.t1, b.t2)) >= 0.3 * len(list_distinct(list_concat(a.t1, b.t2)))) AND 2.0 * least(length(a.key), length(b.canonical)) / (length(a.key) + length(b.canonical)) >= 0.65),
 z AS (SELECT later, earlier, {_ratio('x', 'y')} AS ratio, {_ratio('sx', 'sy')} AS score FROM g)
 SELECT * FROM z WHERE ratio >= 0.65 AND score > 0.75"""
+# The sequential rule: names in order of arrival; one that has a good enough earlier fund follows it, every other becomes a fund.
+_RESOLVE = f"""
+WITH RECURSIVE al AS (SELECT form, min(fund_id) AS alias_key FROM (SELECT lower(alias) AS form, fund_id FROM fund_aliases UNION ALL SELECT {_low('alias')}, fund_id FROM fund_aliases) GROUP BY 1),
+rec AS (SELECT d.id, strftime(ingested_at, '%Y%m%d%H%M%S%f') || '|' || d.id AS arrival, fund_name_raw AS raw, {_low('fund_name_raw')} AS key, {_low('general_partner')} AS manager, CASE WHEN y BETWEEN 1980 AND 2030 THEN y ELSE 0 END AS vintage
+  FROM (SELECT *, CASE WHEN trim(vintage_text) NOT IN ({_EMPTY}) THEN TRY_CAST(regexp_extract(vintage_text, '(\\d{{4}})', 1) AS INT) END AS y FROM disclosures_raw WHERE fund_name_raw IS NOT NULL) d),
+k AS (SELECT rec.*, alias_key FROM rec LEFT JOIN al ON al.form = rec.key),
+n AS (SELECT key, min(arrival) AS arrival, arg_min(raw, arrival) AS raw, arg_min(manager, arrival) AS manager, arg_min(vintage, arrival) AS vintage FROM k WHERE alias_key IS NULL AND key <> '' GROUP BY key),
+m AS (SELECT *, {_NORMAL.format('raw')} AS stored FROM n), c AS (SELECT *, {_low('stored')} AS canonical FROM m),
+s1 AS (SELECT key AS k, raw AS name FROM c), s2 AS (SELECT key AS k, stored AS name FROM c),
+d AS (SELECT c.*, p.number AS n1, q.number AS n2, {_tokens('c.key')} AS t1, {_tokens('c.canonical')} AS t2, list_sort(list_distinct(list_filter(string_split(c.key, ' '), lambda x: x IN ({_STRATEGY})))) AS st, {_sorted('c.key')} AS sk, {_sorted('c.canonical')} AS sc, row_number() OVER (ORDER BY arrival) AS rn
+  FROM c LEFT JOIN {_numbers('s1')} p ON p.k = c.key LEFT JOIN {_numbers('s2')} q ON q.k = c.key),
+g AS (SELECT a.key AS later, b.key AS earlier, b.arrival AS since, a.key AS x, b.canonical AS y, a.sk AS sx, b.sc AS sy, a.manager AS ma, b.manager AS mb, a.vintage AS va, b.vintage AS vb FROM d a JOIN d b ON b.arrival < a.arrival AND a.st = b.st AND (a.n1 IS NULL OR b.n2 IS NULL OR a.n1 = b.n2)
+  AND (len(a.t1) = 0 OR len(b.t2) = 0 OR len(list_intersect(a.t1, b.t2)) >= 0.3 * len(list_distinct(list_concat(a.t1, b.t2)))) AND 2.0 * least(length(a.key), length(b.canonical)) / (length(a.key) + length(b.canonical)) >= 0.65),
+z AS (SELECT *, {_ratio('x', 'y')} AS ratio, {_ratio('sx', 'sy')} AS score, CASE WHEN ma <> '' AND mb <> '' THEN {_ratio('ma', 'mb')} ELSE 0 END AS alike FROM g),
+ok AS (SELECT later, earlier, since, score FROM z WHERE ratio >= 0.65 AND score > 0.75 AND (score > 0.85)::INT + (alike > 0.85)::INT + (va <> 0 AND va = vb)::INT >= 2),
+nm AS (SELECT d.key, rn, coalesce(o.earlier, []) AS options FROM d LEFT JOIN (SELECT later, list(earlier) AS earlier FROM ok GROUP BY 1) o ON o.later = d.key),
+st(i, funds) AS (SELECT 0::BIGINT, []::VARCHAR[] UNION ALL SELECT i + 1, CASE WHEN len(list_intersect(options, funds)) > 0 THEN funds ELSE list_append(funds, key) END FROM st JOIN nm ON rn = i + 1),
+fin AS (SELECT unnest(funds) AS fund FROM (SELECT funds FROM st ORDER BY i DESC LIMIT 1)),
+best AS (SELECT later, earlier, score FROM ok WHERE earlier IN (SELECT fund FROM fin) QUALIFY row_number() OVER (PARTITION BY later ORDER BY score DESC, since) = 1)
+SELECT k.id, coalesce(k.alias_key, best.earlier, n.key) AS fund_key, CASE WHEN k.alias_key IS NOT NULL THEN 'alias' WHEN n.key IS NULL THEN NULL WHEN k.arrival = n.arrival THEN CASE WHEN best.later IS NULL THEN 'new' ELSE 'fuzzy' END WHEN best.later IS NOT NULL THEN 'alias' ELSE 'exact' END AS match_type, best.score
+FROM k LEFT JOIN n ON n.key = k.key AND k.alias_key IS NULL LEFT JOIN best ON best.later = n.key"""
 _FIRMS = f"""
 WITH n AS (SELECT DISTINCT general_partner AS firm_name, {_FIRM.format('general_partner')} AS form FROM funds WHERE general_partner IS NOT NULL), f AS (SELECT DISTINCT sha256(canonical_name) AS firm_id, {_FIRM.format('canonical_name')} AS y FROM gp_aliases), al AS (SELECT sha256(canonical_name) AS firm_id, {_FIRM.format('alias')} AS y FROM gp_aliases),
 e AS (SELECT firm_name, min(firm_id) AS firm_id, 'exact' AS match_type FROM n JOIN f ON form = y WHERE form <> '' GROUP BY 1), b AS (SELECT firm_name, min(firm_id) AS firm_id, 'alias' AS match_type FROM n JOIN al ON form = y WHERE form <> '' AND firm_name NOT IN (SELECT firm_name FROM e) GROUP BY 1),
@@ -258,6 +279,7 @@ ORACLE = {
     "link_audit": f"WITH {_LINKS} SELECT id, ratio, coalesce(n1 <> n2, false) AS numbers_differ FROM l WHERE coalesce(n1 <> n2, false) OR ratio < 0.75",
     "auto_resolved": f"WITH {_LINKS} SELECT id, ratio, token_ratio FROM l WHERE token_ratio > 0.90 AND ratio > 0.75 AND n1 IS NOT DISTINCT FROM n2",
     "similarity_pairs": _PAIR_SQL,
+    "resolve_entities": _RESOLVE,
     "firm_resolution": _FIRMS,
     "parse_amounts": f"WITH a AS ({_amount('1e-6')}), b AS ({_amount('1.0')}) SELECT a.id, a.v AS amount_mm, b.v AS amount_in_millions FROM a JOIN b USING (id)",
     "parse_percent": f"SELECT id, CASE WHEN contains(i, '%') OR abs(n) > 1 THEN n / 100 ELSE n END AS rate FROM (SELECT id, i, CASE WHEN w THEN -n ELSE n END AS n FROM (SELECT id, i, w, {_number('x')} AS n FROM (SELECT id, i, w, trim(regexp_replace(i, '[%,]', '', 'g')) AS x FROM (SELECT id, starts_with(s, '(') AND ends_with(s, ')') AS w, CASE WHEN starts_with(s, '(') AND ends_with(s, ')') THEN trim(s[2:-2]) ELSE s END AS i FROM (SELECT id, {_present('net_irr_text')} AS s FROM disclosures_raw)))))",
