@@ -136,8 +136,8 @@ def judged_claims(stated: DataFrame) -> DataFrame:
     return stated.alias("s").join(everyone.alias("e"), on).select("s.*", "e.n_values", F.array_except("e.everyone", "s.sources").alias("others"))
 
 
-def source_quality(judged: DataFrame, rounds: int = 8, prior: float = 0.5) -> tuple[DataFrame, DataFrame]:
-    """(quality by source, posterior by pattern) after `rounds` of expectation-maximisation.
+def source_quality(judged: DataFrame, still: float = 1e-3, rounds: int = 100, prior: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """(quality by source, posterior by pattern) by expectation-maximisation until no source moves by more than `still` (at the latest after `rounds`).
 
     judged holds all claims (or claims of a pattern with their count n), the undisputed ones too: they tell what a source states when it is right. Starting values
     are sensitivity 0.8 and specificity 0.9, and they stay in as ten pseudo-counts each. A statement is never taken as
@@ -152,7 +152,7 @@ def source_quality(judged: DataFrame, rounds: int = 8, prior: float = 0.5) -> tu
     )
     flat = cut(patterns.select("field", "sources", "others", "n", F.inline(votes)))
     quality = cut(flat.select("source").distinct().select("source", F.lit(0.8).alias("sensitivity"), F.lit(0.9).alias("specificity")))
-    posterior = None
+    posterior, last = None, {}
     for _ in range(rounds):
         q = flat.join(quality, "source")
         yes = F.when(F.col("says") == 1, F.col("sensitivity")).otherwise(1 - F.col("sensitivity"))
@@ -166,6 +166,12 @@ def source_quality(judged: DataFrame, rounds: int = 8, prior: float = 0.5) -> tu
             ((F.sum(w * says) + 8) / (F.sum(w) + 10)).alias("sensitivity"), ((F.sum(v * (1 - says)) + 9) / (F.sum(v) + 10)).alias("specificity"),
         )
         quality = cut(raw.select("source", "sensitivity", F.greatest("specificity", F.lit(1.01) - F.col("sensitivity")).alias("specificity")))
+        # A row a source, methods at eleven levels of confidence.
+        now = {r["source"]: (r["sensitivity"], r["specificity"]) for r in quality.collect()}
+        moved = max((abs(x - y) for s, q in now.items() for x, y in zip(q, last.get(s, (0.0, 0.0)), strict=True)), default=0.0)
+        last = now
+        if moved <= still:
+            break
     return quality, cut(posterior)
 
 
@@ -184,8 +190,7 @@ def fused_fields(commitments: DataFrame, fields: tuple[str, ...] = FIELDS, accep
     judged = cut(judged_claims(claims(rows.join(rivals.alias("r"), on, "left_semi").drop("q_"), fields)).where("n_values > 1"))
     none = F.array().cast("array<string>").alias("others")
     alone = counted.where("g IS NULL").select("field", "sources", none, "n")
-    # Seven rounds, and the eighth expectation is the judgement of every claim.
-    quality, _ = source_quality(alone.unionByName(judged.select("field", "sources", "others", F.lit(1).cast("bigint").alias("n"))), rounds=7)
+    quality, _ = source_quality(alone.unionByName(judged.select("field", "sources", "others", F.lit(1).cast("bigint").alias("n"))))
     said, unsaid = source_odds(quality)
     for_it = F.aggregate("sources", F.lit(0.0), lambda acc, x: acc + said(x))
     p = 1 / (1 + F.exp(-F.aggregate("others", for_it, lambda acc, x: acc + unsaid(x))))
