@@ -42,9 +42,10 @@ def p4_rare_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every column between consecutive dated loads; an undated load has no place in the order."""
     commitments = table(spark, sf_dir, "commitments")
     dated, load = _loads(commitments)
-    masks = profile.mask_counts(profile.value_counts(dated, load, [c for c in commitments.columns if c != "extraction_method"]), LOAD)
+    masks = profile.mask_counts(profile.value_counts(dated, load, commitments.columns), LOAD)
     return profile.mask_divergence(masks, "method", "quarter").withColumnRenamed("method", "extraction_method")
 
 

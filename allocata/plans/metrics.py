@@ -188,7 +188,7 @@ def ingest_flags(spark, sf_dir):
 
 
 def completeness(spark, sf_dir):
-    return Q.completeness(_facts(spark, sf_dir))
+    return Q.completeness(_facts(spark, sf_dir), Q.PROFILE_FIELDS)
 
 
 def coverage_gap(spark, sf_dir):

@@ -152,7 +152,7 @@ def test_spikes_of_a_source_with_one_usual_value(spark):
 def test_divergence_of_every_profiled_column(spark):
     sf = f"{DATA}/sf0.001"
     divergence, whole = (data_quality.QUERIES[q](spark, sf).select("column_name").distinct().collect() for q in ("p4_divergence", "p4_profile"))
-    assert {r[0] for r in divergence} == {r[0] for r in whole} and len(whole) == 20
+    assert {r[0] for r in divergence} == {r[0] for r in whole} and len(whole) == 21
 
 
 def test_rare_masks(spark):
