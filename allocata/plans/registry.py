@@ -88,8 +88,8 @@ def _sheet(spark, sf_dir):
     """The raw disclosures as a delivered sheet; every tenth row (by its id's last letter) has its cells shifted."""
     d = table(spark, sf_dir, "disclosures_raw", "id", "pension_fund_id", "fund_name_raw", "general_partner", "commitment_text", "vintage_text", "net_multiple_text").where("fund_name_raw IS NOT NULL")
     off = F.substring("id", -1, 1) == "7"
-    amount = P.amount_in_millions(F.col("commitment_text"))
-    cells = d.select(
+    amount = F.col("amount")
+    cells = d.withColumn("amount", P.amount_in_millions(F.col("commitment_text"))).select(
         F.col("id").alias("row_id"), "pension_fund_id",
         F.when(off, F.col("general_partner")).otherwise("QA").alias("state"), F.when(off, F.col("fund_name_raw")).otherwise(F.col("general_partner")).alias("general_partner"),
         F.when(off, F.coalesce(amount.cast("string"), F.lit("0"))).otherwise(F.col("fund_name_raw")).alias("fund_name"), F.when(off, "").otherwise(amount.cast("string")).alias("commitment"), "vintage_text", "net_multiple_text",

@@ -23,10 +23,6 @@ def section_spans(spark, sf_dir):
     return T.section_spans(_documents(spark, sf_dir))
 
 
-def attendance(spark, sf_dir):
-    return T.attendance(_documents(spark, sf_dir))
-
-
 def meeting_dates(spark, sf_dir):
     return _documents(spark, sf_dir).select("doc_id", T.meeting_date(F.col("text")).alias("meeting_date")).where("meeting_date <> ''")
 
@@ -87,14 +83,26 @@ def document_systems(spark, sf_dir):
     return _documents(spark, sf_dir).where("text IS NOT NULL").groupBy(T.system_of(F.col("text")).alias("system")).agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (board_events, section_spans, attendance, meeting_dates, event_patterns, motion_outcomes, sentiment, numbered_lines, layout_rows, json_props, stream_windows, document_systems)}
+QUERIES = {f.__name__: f for f in (board_events, section_spans, meeting_dates, event_patterns, motion_outcomes, sentiment, numbered_lines, layout_rows, json_props, stream_windows, document_systems)}
 
 
 def _tone(words: list[str]) -> str:
     return " + ".join(f"contains(lower(text), '{w}')::INT" for w in words)
 
 
+# Headers are lines, so the second engine looks at lines with their places.
+_LINES = "regexp_replace(regexp_replace(regexp_replace(text, '(\\w)\\n([a-z])', '\\1 \\2', 'g'), '([A-Z][a-z]+)\\n([A-Z][a-z]+)', '\\1 \\2', 'g'), '  +', ' ', 'g')"
+_PATTERNS = [p.pattern.replace("'", "''") for p in T.HEADERS]
+_SECTIONS = f"""
+WITH j AS (SELECT doc_id, {_LINES} AS t FROM documents WHERE text <> ''), l AS (SELECT doc_id, length(t) AS total, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS i FROM j),
+o AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM l),
+h AS ({" UNION ALL ".join(f"SELECT doc_id, total, place, trim(regexp_extract(line, '{p}', 1)) AS title FROM o WHERE regexp_matches(line, '{p}')" for p in _PATTERNS)}),
+k AS (SELECT * FROM h WHERE length(title) >= 8 AND title <> 'APPROVED' UNION ALL SELECT doc_id, total, place - 1, trim(line) FROM o WHERE i > 0 AND regexp_matches(line, '(?i)^(?:{"|".join(T.TITLES)})')),
+f AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY doc_id, left(upper(title), 40) ORDER BY place, title) = 1)
+SELECT doc_id, title, place::INT AS "start", lead(place, 1, total) OVER (PARTITION BY doc_id ORDER BY place, title)::INT AS "end" FROM f"""
+
 ORACLE = {
+    "section_spans": _SECTIONS,
     "meeting_dates": "SELECT doc_id, d AS meeting_date FROM (SELECT doc_id, CASE WHEN regexp_extract(substring(text, 1, 2000), '(?i)(?:Board\\s+Meeting\\s+Minutes|Meeting\\s+Minutes|Board\\s+Meeting)\\s*\\n\\s*(\\w+\\s+\\d{1,2},?\\s+\\d{4})', 1) <> '' THEN regexp_extract(substring(text, 1, 2000), '(?i)(?:Board\\s+Meeting\\s+Minutes|Meeting\\s+Minutes|Board\\s+Meeting)\\s*\\n\\s*(\\w+\\s+\\d{1,2},?\\s+\\d{4})', 1) ELSE regexp_extract(substring(text, 1, 2000), '((?:" + T.MONTHS + ")\\s+\\d{1,2},?\\s+\\d{4})', 1) END AS d FROM documents) WHERE d <> ''",
     "event_patterns": f"SELECT doc_id, CAST(i - 1 AS BIGINT) AS n, TRY_CAST(replace(regexp_extract(a[i], '([\\d.,]+)', 1), ',', '') AS DOUBLE) * CASE WHEN a[i] LIKE '%billion' THEN 1000.0 WHEN a[i] LIKE '%thousand' THEN 0.001 ELSE 1.0 END::DOUBLE AS amount_mm FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{COMMITMENT}', 1) AS a FROM documents))",
     "document_systems": "SELECT CASE " + " ".join(f"WHEN regexp_matches(left(text, 3000), '{p}') THEN '{n}'" for n, p in T.SYSTEMS.items()) + " ELSE 'Unknown' END AS system, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1",
