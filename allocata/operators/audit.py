@@ -23,11 +23,10 @@ PREFIX = 25
 
 def realigned(sheet: DataFrame) -> DataFrame:
     """The sheet with shifted rows put right, and whether they were."""
-    shifted = F.coalesce(loose_float(F.col("fund_name")).isNotNull(), F.lit(False))
+    # A column of its own, so that the test is not repeated for every cell that it moves.
+    tested = sheet.withColumn("shifted", F.coalesce(loose_float(F.col("fund_name")).isNotNull(), F.lit(False)))
     moved = {"general_partner": "state", "fund_name": "general_partner", "commitment": "fund_name"}
-    return sheet.select(
-        *[F.when(shifted, F.col(moved[c])).otherwise(F.col(c)).alias(c) if c in moved else F.col(c) for c in sheet.columns], shifted.alias("shifted"),
-    )
+    return tested.select(*[F.when(F.col("shifted"), F.col(moved[c])).otherwise(F.col(c)).alias(c) if c in moved else F.col(c) for c in sheet.columns], "shifted")
 
 
 def score(stated_amount: Column, amount: Column, stated_vintage: Column, vintage: Column) -> Column:
