@@ -36,6 +36,28 @@ def indel_ratio(a: Column | str, b: Column | str) -> Column:
     return F.pandas_udf(batch, "double")(a, b)
 
 
+# Characters that are counted one by one; all others add nothing to a bound, so it stays a bound.
+COUNTED = "abcdefghijklmnopqrstuvwxyz 123"
+
+
+def letter_bits(text: Column) -> Column:
+    """How often a text holds each counted character, up to four times, as bits of two numbers: an insertion or deletion flips one bit at most."""
+    first, more = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
+    for i, c in enumerate(COUNTED):
+        n = F.length(text) - F.length(F.replace(text, F.lit(c)))
+        seen = F.call_function("shiftright", F.lit(15), F.lit(4) - F.least(n, F.lit(4))).cast("bigint")
+        first = first.bitwiseOR(F.shiftleft(seen.bitwiseAND(F.lit(3)), 2 * i))
+        more = more.bitwiseOR(F.shiftleft(F.shiftright(seen, 2), 2 * i))
+    return F.struct(first.alias("first"), more.alias("more"))
+
+
+def ratio_bound(a_length: Column, a_bits: Column, b_length: Column, b_bits: Column) -> Column:
+    """What the indel ratio of two texts with these lengths and `letter_bits` cannot exceed; null for two empty texts."""
+    total = a_length + b_length
+    apart = F.bit_count(a_bits["first"].bitwiseXOR(b_bits["first"])) + F.bit_count(a_bits["more"].bitwiseXOR(b_bits["more"]))
+    return F.least(total - apart, 2 * F.least(a_length, b_length)).cast("double") / F.nullif(total, F.lit(0))
+
+
 def token_sorted(name: Column) -> Column:
     """Words in order, joined by blanks: what the token-sort ratio compares."""
     return F.array_join(F.array_sort(F.split(F.trim(F.regexp_replace(name, r"\s+", " ")), " ")), " ")

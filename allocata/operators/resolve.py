@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allocata.functions.fund_names import distinctive_tokens, fund_number, normalized_firm, normalized_name, strategy_tokens, token_jaccard
-from allocata.functions.similarity import indel_ratio, ratio, token_sorted
+from allocata.functions.similarity import indel_ratio, letter_bits, ratio, ratio_bound, token_sorted
 from allocata.session import cut
 
 if TYPE_CHECKING:
@@ -25,6 +25,8 @@ if TYPE_CHECKING:
 # Gates and signals of a match.
 RATIO_GATE, JACCARD_GATE, NAME_SIGNAL, MANAGER_SIGNAL, NAME_FLOOR, SIGNALS = 0.65, 0.3, 0.85, 0.85, 0.75, 2
 FIRM_MATCH, AUTO_TOKEN, AUTO_RATIO, AUDIT_RATIO = 0.85, 0.90, 0.75, 0.75
+# Fixed value: parts in which the forms of one length are compared.
+SHARES = 8
 
 
 def first_names(records: DataFrame) -> DataFrame:
@@ -141,8 +143,19 @@ def resolve(records: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     return out.select(*[F.col(c) for c in records.columns], F.coalesce("alias_key", "fund_key").alias("fund_key"), kind.alias("match_type"), "score")
 
 
+def near_forms(forms: DataFrame, firms: DataFrame) -> DataFrame:
+    """(form, firm_form, firm_id) of the pairs whose lengths and letters let the ratio exceed 0.85; one row per form and firm_form comes in."""
+    stretch = (2 - FIRM_MATCH) / FIRM_MATCH
+    m, n = F.col("m"), F.col("n")
+    left = forms.select("form", F.length("form").alias("m"), letter_bits(F.col("form")).alias("bits"), F.pmod(F.xxhash64("form"), F.lit(SHARES)).cast("int").alias("share"))
+    left = left.withColumn("n", F.explode(F.sequence(F.floor(m / stretch).cast("int"), F.ceil(m * stretch).cast("int"))))
+    right = firms.select("firm_form", "firm_id", F.length("firm_form").alias("n"), letter_bits(F.col("firm_form")).alias("firm_bits"), F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"))
+    near = (2.0 * F.least(m, n) > FIRM_MATCH * (m + n)) & (ratio_bound(m, F.col("bits"), n, F.col("firm_bits")) > FIRM_MATCH)
+    return left.join(right, ["n", "share"]).where(near).select("form", "firm_form", "firm_id")
+
+
 def firm_matches(names: DataFrame, firms: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(firm_name, firm_id, match_type) of names by canonical name, alias, or best ratio above 0.85 (a shared bigram blocks)."""
+    """(firm_name, firm_id, match_type) of names by canonical name, alias, or best ratio above 0.85 (lengths and letter counts block)."""
     n = names.select("firm_name").distinct().withColumn("form", normalized_firm(F.col("firm_name"))).where("form <> ''")
     f = firms.select(F.col("id").alias("firm_id"), normalized_firm(F.col("name")).alias("firm_form"))
     al = aliases.select("firm_id", normalized_firm(F.col("alias")).alias("firm_form"))
@@ -151,14 +164,12 @@ def firm_matches(names: DataFrame, firms: DataFrame, aliases: DataFrame) -> Data
     by_alias = rest.join(al, rest["form"] == al["firm_form"]).groupBy("firm_name").agg(F.min("firm_id").alias("firm_id")).withColumn("match_type", F.lit("alias"))
     rest = rest.join(by_alias, "firm_name", "left_anti")
 
-    def grams(form: str) -> Column:
-        return F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(form) - 1, F.lit(1))), lambda i: F.substring(form, i, 2))))
-
-    # Names of so different lengths cannot reach the ratio; most pairs end here, before anything is made distinct.
-    near = 2.0 * F.least(F.length("form"), F.length("firm_form")) > FIRM_MATCH * (F.length("form") + F.length("firm_form"))
-    met = rest.select("firm_name", "form", grams("form").alias("g")).join(f.select("firm_id", "firm_form", grams("firm_form").alias("g")), "g").where(near).select("firm_name", "form", "firm_id", "firm_form").distinct()
+    # Different forms are compared once; a firm stands for all with its form.
+    known = f.groupBy("firm_form").agg(F.min("firm_id").alias("firm_id"))
+    met = near_forms(rest.select("form").distinct(), known)
     scored = met.withColumn("score", indel_ratio(F.col("form"), F.col("firm_form"))).where(F.col("score") > FIRM_MATCH)
-    fuzzy = scored.groupBy("firm_name").agg(F.min(F.struct(-F.col("score"), "firm_id"))["firm_id"].alias("firm_id")).withColumn("match_type", F.lit("fuzzy"))
+    best = scored.groupBy("form").agg(F.min(F.struct(-F.col("score"), "firm_id"))["firm_id"].alias("firm_id"))
+    fuzzy = rest.join(best, "form").select("firm_name", "firm_id").withColumn("match_type", F.lit("fuzzy"))
     return exact.unionByName(by_alias).unionByName(fuzzy)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from allocata.functions import fund_names as N
 from allocata.functions.managers import DEFAULT_STRATEGY, KNOWN_MANAGERS
-from allocata.functions.similarity import indel_ratio, lcs_length, ratio, token_sorted
+from allocata.functions.similarity import indel_ratio, lcs_length, letter_bits, ratio, ratio_bound, token_sorted
 from allocata.operators import resolve as E
 
 RECORD = "arrival string, fund_name_raw string, general_partner string, vintage_year int"
@@ -144,3 +144,27 @@ def test_firms(spark):
 
 def test_empty_tables(spark):
     assert E.resolve(spark.createDataFrame([], RECORD)).count() == 0
+
+
+def test_letters_bound_the_ratio(spark):
+    rng = random.Random(5)
+    texts = ["", "a", "aaaaaa", "é ü", "12 3"] + ["".join(rng.choice("aabcde é19") for _ in range(rng.randrange(12))) for _ in range(60)]
+    df = spark.createDataFrame([(x, y) for x in texts for y in texts], "x string, y string")
+    bound = ratio_bound(F.length("x"), letter_bits(F.col("x")), F.length("y"), letter_bits(F.col("y")))
+    for r in df.select("x", "y", bound.alias("bound")).collect():
+        assert r["bound"] is None if r["x"] == r["y"] == "" else r["bound"] >= ratio(r["x"], r["y"])
+
+
+def test_only_firms_that_letters_let_meet_are_scored(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(4))
+    names = [f"{word()} {word()} Capital Partners" for _ in range(60)]
+    typed = [n[:k] + n[k + 1 :] for n in names for k in [rng.randrange(len(n))]]
+    firms = spark.createDataFrame([(f"{i:02d}", n) for i, n in enumerate(names)], "id string, name string")
+    found = E.firm_matches(spark.createDataFrame([(t,) for t in typed], "firm_name string"), firms, spark.createDataFrame([], "firm_id string, alias string"))
+    form = lambda t: " ".join(t.lower().split())
+    want = {t: max((ratio(form(t), form(n)), -i) for i, n in enumerate(names)) for t in typed if form(t) not in map(form, names)}
+    fuzzy = {r["firm_name"]: r["firm_id"] for r in found.collect() if r["match_type"] == "fuzzy"}
+    assert fuzzy == {t: f"{-i:02d}" for t, (score, i) in want.items() if score > E.FIRM_MATCH}
+    pairs = E.near_forms(spark.createDataFrame([(form(t),) for t in typed], "form string"), firms.select(F.lower("name").alias("firm_form"), F.col("id").alias("firm_id")))
+    assert len(typed) <= pairs.count() < len(typed) * len(names) / 4
