@@ -47,7 +47,7 @@ def minutes_events(spark, sf_dir):
 
 
 def minutes_totals(spark, sf_dir):
-    return T.meeting_totals(T.events(_minutes(spark, sf_dir)))
+    return T.meeting_totals(T.events(_minutes(spark, sf_dir), columns=("event_type", "details"), fields=("amount_mm",)))
 
 
 def minutes_sections(spark, sf_dir):

@@ -1,4 +1,7 @@
 import os
+import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,3 +241,29 @@ def test_stream(spark, tmp_path):
     spark.createDataFrame([("b", 9.0, "t2")], schema).write.mode("append").parquet(str(tmp_path / "in"))
     stream.merge_stream(stream.read_landing(spark, str(tmp_path / "in"), schema), table, ["k"], "created_at", str(tmp_path / "cp")).awaitTermination()
     assert {r["k"]: r["v"] for r in table.read().collect()} == {"a": 1.0, "b": 9.0}
+
+
+def test_matches_are_looked_for_only_where_they_can_start():
+    """As `finditer` gives them, from pieces that nearly match, and without walking through the names of a text for every letter."""
+    pieces = (
+        "Ann moved that the Board invest in it.", "moved", "x moved that the Board adopt it. ", "Bob\nseconded the motion", "The motion carried with A B opposed.", "the motion carried unanimously", "Dia\nwas\nelected Chair", "was elected as Board Chair",
+        "Edd be removed from the Risk Committee", "Gus, Outgoing Chair", "returned 7.5 percent for the year,", "AUM of $3 B", "Board approve the long policy as proposed", "Board appoint Al Bo to the Audit Committee", "Mr. Bob voted no. proxy voting",
+        "public commenters urged the board to do more for bonds. Then", "May 3 Ash II $7.5B", "Board invest up to $5 million, in Alder IV, L.P.", "Since 2001 the Board has committed over $3 billion to 4 prior", "Alder IV is a large buyout fund with a target size of $3 billion",
+        "Board select Birch as a global manager", "\nADJOURN\n", ". ", "ſeconded the motion", "İ Ann moved that the Board adopt it.", "Kiſmé", "elected", " be ",
+    )
+    rng = random.Random(2)
+    patterns = {(r.pattern, r.flags) for r in T.RULES} | {(p, re.IGNORECASE) for p in (T.SECONDED, T.UNANIMOUS, T.OPPOSED, T.CARRIED, T.HISTORY, T.DESCRIBED, T.NOT_DISSENT)}
+    for _ in range(400):
+        whole = "".join(rng.choice(pieces) + rng.choice((" ", "\n", "", ", ")) for _ in range(rng.randrange(1, 25)))
+        low = T.folded(whole)
+        assert len(low) == len(whole)
+        for p, flags in patterns:
+            assert [m.span() for m in T.every(p, flags, whole, low)] == [m.span() for m in re.finditer(p, whole, flags)], (p, whole)
+    assert all(any(re.search(r.anchor, p, r.flags) for r in T.RULES) for p in T.PLAIN_ANCHORS)
+
+
+def test_names_are_not_walked_for_every_letter():
+    names = "Ann Bob Cyd Dia Edd Flo Gus Hal " * 400
+    began = time.process_time()
+    T.document_events(f"CALL TO ORDER\n{names}\nAnn moved that the Board adopt it. {names}\nDia was elected Chair")
+    assert time.process_time() - began < 1
