@@ -40,7 +40,7 @@ def _minutes(spark, sf_dir):
 def minutes_events(spark, sf_dir):
     d = F.col("details")
     at = lambda k: F.try_element_at(d, F.lit(k))
-    return T.events(_minutes(spark, sf_dir)).select(
+    return T.events(_minutes(spark, sf_dir), columns=("section", "event_type", "summary", "details")).select(
         "doc_id", "section", "event_type", "summary", F.coalesce(at("person"), at("mover"), at("manager_name"), at("fund_name"), F.lit("")).alias("who"),
         F.coalesce(at("amount_mm"), at("aum_mm"), at("return_pct")).cast("double").alias("amount"), F.coalesce(at("outcome"), at("sentiment"), at("action"), F.lit("")).alias("how"), F.coalesce(at("seconder"), F.lit("")).alias("seconder"), F.coalesce(at("dissenter"), F.lit("")).alias("dissenter"),
     )
