@@ -48,31 +48,64 @@ def first_names(records: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(names: DataFrame) -> DataFrame:
-    """(later, earlier, score, ratio) of names that pass every gate; `later` arrived after `earlier`.
+    """(later, earlier, score, ratio) of names that pass every gate; `later` arrived after `earlier`."""
+    gated = meeting_pairs(names)
+    scored = gated.select("later", "earlier", indel_ratio(F.col("later"), F.col("canonical")).alias("ratio"), indel_ratio(token_sorted(F.col("later")), token_sorted(F.col("canonical"))).alias("score"))
+    return scored.where((F.col("ratio") >= RATIO_GATE) & (F.col("score") > NAME_FLOOR))
+
+
+def meeting_pairs(names: DataFrame) -> DataFrame:
+    """(later, earlier, canonical form of the earlier) of names that pass the gates of words and numbers and whose ratios can pass.
 
     Blocking: the strategy words must be equal, and a Jaccard of 0.3 needs a common word among the rarest
-    n - ceil(0.3 n) + 1 of either side (prefix filter). Names without distinctive words meet within their strategy words.
+    n - ceil(0.3 n) + 1 of either side (prefix filter). Two names meet in the first such word only, and only if the words
+    from there on, their numbers, lengths and letters let them pass; what is kept of the meetings are the pairs. A word so far
+    back that only names of one word pass by it meets no others. Names without distinctive words meet within their strategy words.
     """
-    words = names.select("key", "strategies", F.size("tokens").alias("size"), F.explode("tokens").alias("w"))
+    words = names.select("key", F.explode(F.array_union("tokens", "stored_tokens")).alias("w"))
     frequency = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("n", "w"))
-    prefix = words.join(frequency, "w").withColumn("r", rank).where(F.col("r") <= F.col("size") - F.ceil(F.lit(JACCARD_GATE) * F.col("size")) + 1)
-    a = prefix.select(F.col("key").alias("later"), "strategies", "w")
-    b = prefix.select(F.col("key").alias("earlier"), "strategies", "w")
-    met = a.join(b, ["strategies", "w"]).where("later <> earlier").select("later", "earlier").distinct()
-    blank = names.where(F.size("tokens") == 0).select(F.col("key").alias("blank"), "strategies")
-    free = blank.join(names.select(F.col("key").alias("other"), "strategies"), "strategies").where("blank <> other")
-    pairs = met.unionByName(free.select(F.col("blank").alias("later"), F.col("other").alias("earlier"))).unionByName(free.select(F.col("other").alias("later"), F.col("blank").alias("earlier"))).distinct()
-    later = names.select(F.col("key").alias("later"), F.col("arrival").alias("la"), F.col("number").alias("ln"), F.col("tokens").alias("lt"))
-    earlier = names.select(F.col("key").alias("earlier"), F.col("arrival").alias("ea"), F.col("canonical_number").alias("en"), F.col("stored_tokens").alias("et"), "canonical")
-    gated = pairs.join(later, "later").join(earlier, "earlier").where(
+    ordered = words.join(frequency, "w").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "w"))).alias("ordered"))
+    facts = names.join(ordered, "key", "left").withColumn("ordered", F.coalesce(F.col("ordered")["w"], F.array().cast("array<string>")))
+
+    def side(key: str, arrival: str, number: str, tokens: str, text: str, mark: str) -> DataFrame:
+        mine = F.filter("ordered", lambda w: F.array_contains(tokens, w))
+        sorted_text = token_sorted(F.col(text))
+        columns = {key: F.col("key"), f"{mark}a": F.col("arrival"), f"{mark}n": F.col(number), f"{mark}t": mine, f"{mark}s": F.size(tokens), f"{mark}x": F.col(text), f"{mark}l": F.length(text), f"{mark}y": F.length(sorted_text), f"{mark}b": letter_bits(sorted_text)}
+        return facts.select("strategies", *[c.alias(k) for k, c in columns.items()])
+
+    later, earlier = side("later", "arrival", "number", "tokens", "key", "l"), side("earlier", "arrival", "canonical_number", "stored_tokens", "canonical", "e")
+    passing = (
         (F.col("ea") < F.col("la"))
         & (F.col("ln").isNull() | F.col("en").isNull() | (F.col("ln") == F.col("en")))
-        & ((F.size("lt") == 0) | (F.size("et") == 0) | (token_jaccard(F.col("lt"), F.col("et")) >= JACCARD_GATE))
-        & (2.0 * F.least(F.length("later"), F.length("canonical")) / (F.length("later") + F.length("canonical")) >= RATIO_GATE)
+        & (2.0 * F.least("ll", "el") / (F.col("ll") + F.col("el")) >= RATIO_GATE)
+        & (ratio_bound(F.col("ly"), F.col("lb"), F.col("ey"), F.col("eb")) > NAME_FLOOR)
     )
-    scored = gated.select("later", "earlier", indel_ratio(F.col("later"), F.col("canonical")).alias("ratio"), indel_ratio(token_sorted(F.col("later")), token_sorted(F.col("canonical"))).alias("score"))
-    return scored.where((F.col("ratio") >= RATIO_GATE) & (F.col("score") > NAME_FLOOR))
+
+    def met(side: DataFrame, mark: str) -> DataFrame:
+        """Rows by word, with the place of the word, whether the name has one word, and whether it may meet names of one word."""
+        n = F.col(f"{mark}s")
+        prefix = F.slice(f"{mark}t", 1, F.greatest(n - F.ceil(F.lit(JACCARD_GATE) * n - 1e-9).cast("int") + 1, F.lit(0)))
+        rows = side.where(n > 0).select("*", F.posexplode(prefix).alias(f"{mark}i", "w"))
+        left = n - F.col(f"{mark}i")
+        kinds = F.filter(F.array(F.when(1 / n >= JACCARD_GATE, True), F.when(_reach(left, n, 2) >= JACCARD_GATE, False)), lambda x: x.isNotNull())
+        return rows.withColumn(f"{mark}one", n == 1).withColumn(f"{mark}other", F.explode(kinds))
+
+    common = F.least(F.col("ls") - F.col("li"), F.col("es") - F.col("ei"))
+    near = (common / (F.col("ls") + F.col("es") - common) >= JACCARD_GATE) & passing
+    a, b = met(later, "l"), met(earlier, "e").withColumnsRenamed({"strategies": "es_", "w": "ew"})
+    same = (F.col("strategies") == F.col("es_")) & (F.col("w") == F.col("ew")) & (F.col("lone") == F.col("eother")) & (F.col("lother") == F.col("eone"))
+    hit = a.join(b, same & near).where((F.array_intersect("lt", "et")[0] == F.col("w")) & (token_jaccard(F.col("lt"), F.col("et")) >= JACCARD_GATE))
+    # A name without words meets all; of two such names the later one meets the earlier.
+    blank_later = later.where("ls = 0").join(earlier.withColumnRenamed("strategies", "es_"), (F.col("strategies") == F.col("es_")) & passing)
+    blank_earlier = later.where("ls > 0").join(earlier.where("es = 0").withColumnRenamed("strategies", "es_"), (F.col("strategies") == F.col("es_")) & passing)
+    pairs = [x.select("later", "earlier", F.col("ex").alias("canonical")) for x in (hit, blank_later, blank_earlier)]
+    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2])
+
+
+def _reach(left: Column, n: Column, least: int) -> Column:
+    """The highest Jaccard of n words, of which `left` can be common, with any at least `least` words."""
+    best = F.greatest(F.least(left, n), F.lit(least))
+    return F.least(left, best) / (n + best - F.least(left, best))
 
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:

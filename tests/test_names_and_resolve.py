@@ -168,3 +168,25 @@ def test_only_firms_that_letters_let_meet_are_scored(spark):
     assert fuzzy == {t: f"{-i:02d}" for t, (score, i) in want.items() if score > E.FIRM_MATCH}
     pairs = E.near_forms(spark.createDataFrame([(form(t),) for t in typed], "form string"), firms.select(F.lower("name").alias("firm_form"), F.col("id").alias("firm_id")))
     assert len(typed) <= pairs.count() < len(typed) * len(names) / 4
+
+
+def test_names_with_a_common_word_do_not_all_meet(spark):
+    """The pairs are those of the gates on all pairs; hardly any other is scored, however many names share a word."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(4))
+    rows = [(f"{i:04d}", f"{word()} {word()} {rng.choice(['Energy', 'Secondaries', 'Energy Asia'])} Fund II", None, None) for i in range(150)]
+    rows += [(f"{i + 200:04d}", rows[i][1].replace("a", "e", 1), None, None) for i in range(40)]
+    rows += [("0900", "Growth Fund", None, None), ("0901", "Growth Fund II", None, None), ("0902", "Energy", None, None), ("0903", "Energy Fund", None, None), ("0904", "Fund Energy II", None, None)]
+    names = E.first_names(spark.createDataFrame(rows, RECORD))
+    facts = sorted(names.collect(), key=lambda r: r["arrival"])
+    want = set()
+    for i, b in enumerate(facts):
+        for a in facts[:i]:
+            lt, et = set(b["tokens"]), set(a["stored_tokens"])
+            if b["strategies"] != a["strategies"] or (b["number"] and a["canonical_number"] and b["number"] != a["canonical_number"]) or (lt and et and len(lt & et) / len(lt | et) < 0.3):
+                continue
+            score = ratio(" ".join(sorted(b["key"].split())), " ".join(sorted(a["canonical"].split())))
+            if ratio(b["key"], a["canonical"]) >= 0.65 and score > 0.75:
+                want.add((b["key"], a["key"], score))
+    assert {(r["later"], r["earlier"], r["score"]) for r in E.candidate_pairs(names).collect()} == want and len(want) > 30
+    assert E.meeting_pairs(names).count() < 3 * len(want)
