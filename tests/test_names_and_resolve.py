@@ -190,3 +190,10 @@ def test_names_with_a_common_word_do_not_all_meet(spark):
                 want.add((b["key"], a["key"], score))
     assert {(r["later"], r["earlier"], r["score"]) for r in E.candidate_pairs(names).collect()} == want and len(want) > 30
     assert E.meeting_pairs(names).count() < 3 * len(want)
+
+
+def test_meetings_are_not_kept_before_they_pass(spark):
+    """No step of resolution writes all meetings of names down to make them distinct."""
+    rows = [(f"{i:02d}", f"Alder{i} Birch{i} Energy Fund", None, None) for i in range(5)]
+    plan = E.candidate_pairs(E.first_names(spark.createDataFrame(rows, RECORD)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Aggregate [later" not in plan and "Aggregate [earlier" not in plan
