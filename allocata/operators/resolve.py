@@ -8,20 +8,13 @@ component in arrival order: the result of the sequential scan, without the scan.
 Defined results: a null or blank name is resolved to nothing; repeated names follow the first; ties go to the earliest fund.
 """
 
-from __future__ import annotations
-
-from typing import TYPE_CHECKING
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from allocata.functions.fund_names import distinctive_tokens, fund_number, normalized_firm, normalized_name, strategy_tokens, token_jaccard
-from allocata.functions.similarity import indel_ratio, letter_bits, ratio, ratio_bound, token_sorted
+from allocata.functions.fund_names import ROMAN, distinctive_tokens, fund_number, normalized_firm, normalized_name, strategy_tokens
+from allocata.functions.similarity import indel_ratio, letter_bits, ratio_bound, token_sorted
 from allocata.session import cut
 
-if TYPE_CHECKING:
-    import pandas as pd
-
 # Gates and signals of a match.
 RATIO_GATE, JACCARD_GATE, NAME_SIGNAL, MANAGER_SIGNAL, NAME_FLOOR, SIGNALS = 0.65, 0.3, 0.85, 0.85, 0.75, 2
 FIRM_MATCH, AUTO_TOKEN, AUTO_RATIO, AUDIT_RATIO = 0.85, 0.90, 0.75, 0.75
@@ -34,72 +27,150 @@ def first_names(records: DataFrame) -> DataFrame:
 
     records: (arrival, fund_name_raw, general_partner, vintage_year), arrival unique.
     """
+    return _worded(_described(_firsts(records)))
+
+
+def _firsts(records: DataFrame) -> DataFrame:
     key = F.lower(normalized_name(F.col("fund_name_raw")))
     return (
         records.withColumn("key", key).where("key <> ''").groupBy("key")
         .agg(F.min(F.struct("arrival", "fund_name_raw", "general_partner", "vintage_year")).alias("f"))
         .select("key", "f.*")
-        .withColumn("number", fund_number(F.col("fund_name_raw"))).withColumn("canonical_number", fund_number(normalized_name(F.col("fund_name_raw"))))
+    )
+
+
+def _described(firsts: DataFrame) -> DataFrame:
+    return (
+        firsts.withColumn("number", fund_number(F.col("fund_name_raw"))).withColumn("canonical_number", fund_number(normalized_name(F.col("fund_name_raw"))))
         # A stored name is normalised once more when it is compared.
         .withColumn("canonical", F.lower(normalized_name(normalized_name(F.col("fund_name_raw")))))
-        .withColumn("tokens", distinctive_tokens(F.col("key"))).withColumn("stored_tokens", distinctive_tokens(F.col("canonical")))
-        .withColumn("strategies", F.array_join(strategy_tokens(F.col("key")), " ")).withColumn("manager", F.lower(normalized_name(F.col("general_partner"))))
+        .withColumn("manager", F.lower(normalized_name(F.col("general_partner"))))
+    )
+
+
+def _worded(described: DataFrame) -> DataFrame:
+    return (
+        described.withColumn("tokens", distinctive_tokens(F.col("key"))).withColumn("stored_tokens", distinctive_tokens(F.col("canonical")))
+        .withColumn("strategies", F.array_join(strategy_tokens(F.col("key")), " "))
     )
 
 
 def candidate_pairs(names: DataFrame) -> DataFrame:
     """(later, earlier, score, ratio) of names that pass every gate; `later` arrived after `earlier`."""
-    gated = meeting_pairs(names)
-    scored = gated.select("later", "earlier", indel_ratio(F.col("later"), F.col("canonical")).alias("ratio"), indel_ratio(token_sorted(F.col("later")), token_sorted(F.col("canonical"))).alias("score"))
+    return _scored(meeting_pairs(names)).select("later", "earlier", "ratio", "score")
+
+
+def _scored(gated: DataFrame) -> DataFrame:
+    scored = gated.withColumn("ratio", indel_ratio(F.col("later"), F.col("canonical"))).withColumn("score", indel_ratio(token_sorted(F.col("later")), token_sorted(F.col("canonical"))))
     return scored.where((F.col("ratio") >= RATIO_GATE) & (F.col("score") > NAME_FLOOR))
 
 
-def meeting_pairs(names: DataFrame) -> DataFrame:
+def matching_pairs(names: DataFrame) -> DataFrame:
+    """(la, ea, later, earlier, score) of candidate pairs with enough signals: what a match can follow."""
+    scored = _scored(meeting_pairs(names, signals=True)).withColumn("alike", indel_ratio("lm", "em"))
+    signals = [F.col("score") > NAME_SIGNAL, (F.col("lm") != "") & (F.col("em") != "") & (F.col("alike") > MANAGER_SIGNAL), (F.col("lv") != 0) & (F.col("lv") == F.col("ev"))]
+    return scored.where(sum((c.cast("int") for c in signals), F.lit(0)) >= SIGNALS).select("la", "ea", "later", "earlier", "score")
+
+
+def coded_words(names: DataFrame) -> DataFrame:
+    """(strategies, w, n, single, word): distinctive words by strategy words, how many names hold them, whether one holds no other, a number.
+
+    Words of one name are left out, as they meet nothing; names without words show as a null word.
+    """
+    words = names.select("strategies", *_words()).groupBy("strategies", "x.w").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("single"))
+    return cut(words.where("n > 1 OR w IS NULL").withColumn("word", F.monotonically_increasing_id()), clear=True)
+
+
+def _words() -> list[Column]:
+    """x: each word with whether the name as it arrives (l) and as it is stored (e) holds it, or null; single: whether it is the only one."""
+    kinds = F.transform(F.array_union("tokens", "stored_tokens"), lambda w: F.struct(w.alias("w"), F.array_contains("tokens", w).alias("l"), F.array_contains("stored_tokens", w).alias("e")))
+    empty = F.array(F.lit(None).cast("struct<w:string,l:boolean,e:boolean>"))
+    blank = (F.size("tokens") == 0) | (F.size("stored_tokens") == 0)
+    single = (F.size("tokens") == 1) | (F.size("stored_tokens") == 1)
+    return [single.alias("single"), F.explode(F.when(blank, F.concat(kinds, empty)).otherwise(kinds)).alias("x")]
+
+
+def meeting_pairs(names: DataFrame, signals: bool = False) -> DataFrame:
     """(later, earlier, canonical form of the earlier) of names that pass the gates of words and numbers and whose ratios can pass.
 
     Blocking: the strategy words must be equal, and a Jaccard of 0.3 needs a common word among the rarest
     n - ceil(0.3 n) + 1 of either side (prefix filter). Two names meet in the first such word only, and only if the words
     from there on, their numbers, lengths and letters let them pass; what is kept of the meetings are the pairs. A word so far
     back that only names of one word pass by it meets no others. Names without distinctive words meet within their strategy words.
+
+    Words are numbers here, and a name whose stored form is its form stands on both sides of a join with the same row, so that
+    both sides are shuffled once. signals: only pairs whose vintages are equal or whose managers and names can be alike.
     """
-    words = names.select("key", F.explode(F.array_union("tokens", "stored_tokens")).alias("w"))
-    frequency = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    ordered = words.join(frequency, "w").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "w"))).alias("ordered"))
-    facts = names.join(ordered, "key", "left").withColumn("ordered", F.coalesce(F.col("ordered")["w"], F.array().cast("array<string>")))
-
-    def side(key: str, arrival: str, number: str, tokens: str, text: str, mark: str) -> DataFrame:
-        mine = F.filter("ordered", lambda w: F.array_contains(tokens, w))
-        sorted_text = token_sorted(F.col(text))
-        columns = {key: F.col("key"), f"{mark}a": F.col("arrival"), f"{mark}n": F.col(number), f"{mark}t": mine, f"{mark}s": F.size(tokens), f"{mark}x": F.col(text), f"{mark}l": F.length(text), f"{mark}y": F.length(sorted_text), f"{mark}b": letter_bits(sorted_text)}
-        return facts.select("strategies", *[c.alias(k) for k, c in columns.items()])
-
-    later, earlier = side("later", "arrival", "number", "tokens", "key", "l"), side("earlier", "arrival", "canonical_number", "stored_tokens", "canonical", "e")
+    coded = coded_words(names)
+    has_single, has_blank = not coded.where("single").isEmpty(), not coded.where("w IS NULL").isEmpty()
+    words = names.select("arrival", "strategies", *_words()).where("x IS NOT NULL").select("arrival", "strategies", "x.*")
+    ordered = words.join(coded, ["strategies", "w"]).groupBy("arrival").agg(F.sort_array(F.collect_list(F.struct("n", "word", "l", "e", "single"))).alias("ordered"))
+    facts = names.select("arrival", "key", "canonical", "number", "canonical_number", "strategies", F.size("tokens").alias("ls"), F.size("stored_tokens").alias("es"), *([F.coalesce("manager", F.lit("")).alias("m"), F.coalesce("vintage_year", F.lit(0)).cast("int").alias("v")] if signals else []))
+    # A name that carries neither signal beside its form matches nothing.
+    facts = (facts.where("v <> 0 OR m <> ''") if signals else facts).join(ordered, "arrival", "left")
+
+    # Roles: 1 later, 2 earlier, 3 both.
+    alone = F.lit(None).cast("string")
+    role = lambda r, x: F.struct(F.lit(r).alias("r"), x.alias("x"))
+    roles = F.when(F.col("canonical") == F.col("key"), F.array(role(3, alone))).otherwise(F.array(role(1, alone), role(2, F.col("canonical"))))
+    number = lambda c: F.coalesce(F.array_position(F.array(*map(F.lit, ROMAN)), F.col(c)), F.lit(0)).cast("int")
+    sides = facts.withColumn("role", F.explode(roles)).select("*", "role.*").withColumn("text", F.coalesce("x", "key")).withColumn("sorted", token_sorted(F.col("text")))
+    mine = F.filter(F.coalesce("ordered", F.array().cast("array<struct<n:bigint,word:bigint,l:boolean,e:boolean,single:boolean>>")), lambda w: F.when(F.col("r") == 2, w["e"]).otherwise(w["l"]))
+    columns = {
+        "a": F.col("arrival"), "k": F.col("key"), "x": F.col("x"), "r": F.col("r"), "n": number("number") * 32 + number("canonical_number"), "s": F.when(F.col("r") == 2, F.col("es")).otherwise(F.col("ls")),
+        "t": mine["word"], "l": F.length("text"), "y": F.length("sorted"), "b": letter_bits(F.col("sorted")),
+    }
+    if signals:
+        columns |= {"v": F.col("v"), "m": F.col("m"), "u": F.length("m"), "c": letter_bits(F.col("m"))}
+    rows = sides.select("strategies", *[c.alias(k) for k, c in columns.items()], mine["single"].alias("singles"))
+
+    def either(side: DataFrame, mark: str) -> DataFrame:
+        return side.drop("singles").withColumnsRenamed({c: mark + c for c in side.columns})
+
+    later_number, earlier_number = F.shiftright("ln", 5), F.col("en").bitwiseAND(F.lit(31))
+    bound = ratio_bound(F.col("ly"), F.col("lb"), F.col("ey"), F.col("eb"))
     passing = (
-        (F.col("ea") < F.col("la"))
-        & (F.col("ln").isNull() | F.col("en").isNull() | (F.col("ln") == F.col("en")))
+        (F.col("ea") < F.col("la")) & (F.col("lr").bitwiseAND(F.lit(1)) * F.col("er").bitwiseAND(F.lit(2)) > 0)
+        & ((later_number == 0) | (earlier_number == 0) | (later_number == earlier_number))
         & (2.0 * F.least("ll", "el") / (F.col("ll") + F.col("el")) >= RATIO_GATE)
-        & (ratio_bound(F.col("ly"), F.col("lb"), F.col("ey"), F.col("eb")) > NAME_FLOOR)
+        & (bound > NAME_FLOOR)
     )
-
-    def met(side: DataFrame, mark: str) -> DataFrame:
-        """Rows by word, with the place of the word, whether the name has one word, and whether it may meet names of one word."""
-        n = F.col(f"{mark}s")
-        prefix = F.slice(f"{mark}t", 1, F.greatest(n - F.ceil(F.lit(JACCARD_GATE) * n - 1e-9).cast("int") + 1, F.lit(0)))
-        rows = side.where(n > 0).select("*", F.posexplode(prefix).alias(f"{mark}i", "w"))
-        left = n - F.col(f"{mark}i")
-        kinds = F.filter(F.array(F.when(1 / n >= JACCARD_GATE, True), F.when(_reach(left, n, 2) >= JACCARD_GATE, False)), lambda x: x.isNotNull())
-        return rows.withColumn(f"{mark}one", n == 1).withColumn(f"{mark}other", F.explode(kinds))
-
-    common = F.least(F.col("ls") - F.col("li"), F.col("es") - F.col("ei"))
-    near = (common / (F.col("ls") + F.col("es") - common) >= JACCARD_GATE) & passing
-    a, b = met(later, "l"), met(earlier, "e").withColumnsRenamed({"strategies": "es_", "w": "ew"})
-    same = (F.col("strategies") == F.col("es_")) & (F.col("w") == F.col("ew")) & (F.col("lone") == F.col("eother")) & (F.col("lother") == F.col("eone"))
-    hit = a.join(b, same & near).where((F.array_intersect("lt", "et")[0] == F.col("w")) & (token_jaccard(F.col("lt"), F.col("et")) >= JACCARD_GATE))
-    # A name without words meets all; of two such names the later one meets the earlier.
-    blank_later = later.where("ls = 0").join(earlier.withColumnRenamed("strategies", "es_"), (F.col("strategies") == F.col("es_")) & passing)
-    blank_earlier = later.where("ls > 0").join(earlier.where("es = 0").withColumnRenamed("strategies", "es_"), (F.col("strategies") == F.col("es_")) & passing)
-    pairs = [x.select("later", "earlier", F.col("ex").alias("canonical")) for x in (hit, blank_later, blank_earlier)]
-    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2])
+    if signals:
+        alike = (F.col("lu") > 0) & (F.col("eu") > 0) & (ratio_bound(F.col("lu"), F.col("lc"), F.col("eu"), F.col("ec")) > MANAGER_SIGNAL)
+        passing = passing & (((F.col("lv") == F.col("ev")) & (F.col("lv") != 0) & (F.col("ev") != 0)) | (alike & (bound > NAME_SIGNAL)))
+
+    def at_words(side: DataFrame, words: Column) -> DataFrame:
+        """Rows by word, with the place of the word; the words of one name, which come first, are not in the list."""
+        return side.select("*", F.posexplode(words).alias("j", "w")).withColumn("i", F.col("s") - F.size("t") + F.col("j")).drop("j")
+
+    def joined(later: DataFrame, earlier: DataFrame, *by: str) -> DataFrame:
+        later, earlier = either(later, "l"), either(earlier, "e")
+        same = [F.col("l" + c) == F.col("e" + c) for c in by]
+        met = passing
+        if "w" in by:
+            common = F.least(F.col("ls") - F.col("li"), F.col("es") - F.col("ei"))
+            shared = F.array_intersect("lt", "et")
+            first = (shared[0] == F.col("lw")) & (F.size(shared) / (F.col("ls") + F.col("es") - F.size(shared)) >= JACCARD_GATE)
+            met = (common / (F.col("ls") + F.col("es") - common) >= JACCARD_GATE) & passing & first
+        for c in same:
+            met = c & met
+        return later.join(earlier, met).select(
+            "la", "ea", F.coalesce("lx", "lk").alias("later"), F.col("ek").alias("earlier"), F.coalesce("ex", "ek").alias("canonical"), *(["lv", "ev", "lm", "em"] if signals else []),
+        )
+
+    n = F.col("s")
+    prefix = F.slice("t", 1, F.greatest(n - F.ceil(F.lit(JACCARD_GATE) * n - 1e-9).cast("int") + 1 - (n - F.size("t")), F.lit(0)))
+    many = at_words(rows.where(n > 1), prefix).where(_reach(n - F.col("i"), n, 2) >= JACCARD_GATE)
+    pairs = joined(many, many, "w")
+    if has_single:
+        # A word of which a name is made meets all names that it is enough of.
+        short = at_words(rows.where((n > 0) & (1 / n >= JACCARD_GATE)), F.transform(F.filter(F.arrays_zip("t", "singles"), lambda z: z["singles"]), lambda z: z["t"]))
+        short = short.withColumn("i", F.col("s") - F.size("t") + F.array_position("t", F.col("w")).cast("int") - 1)
+        pairs = pairs.unionByName(joined(short.where(n == 1), short, "w")).unionByName(joined(short.where(n > 1), short.where(n == 1), "w"))
+    if has_blank:
+        # A name without words meets all; of two such names the later one meets the earlier.
+        pairs = pairs.unionByName(joined(rows.where(n == 0), rows, "strategies")).unionByName(joined(rows.where(n > 0), rows.where(n == 0), "strategies"))
+    return pairs
 
 
 def _reach(left: Column, n: Column, least: int) -> Column:
@@ -110,38 +181,34 @@ def _reach(left: Column, n: Column, least: int) -> Column:
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """(node, component): the smallest node of each connected component, by minimum labels with pointer jumping."""
-    links = cut(edges.select(F.col(left).alias("a"), F.col(right).alias("b")).unionByName(edges.select(F.col(right).alias("a"), F.col(left).alias("b"))).distinct())
-    labels = cut(links.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("c")))
+    links = cut(edges.select(F.col(left).alias("a"), F.col(right).alias("b")).unionByName(edges.select(F.col(right).alias("a"), F.col(left).alias("b"))).distinct(), clear=True)
+    labels = cut(links.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("c")), clear=True)
     while True:
         near = links.join(labels.select(F.col("a").alias("b"), F.col("c").alias("nc")), "b").groupBy("a").agg(F.min("nc").alias("nc"))
-        lower = labels.join(near, "a", "left").select("a", F.least("c", F.coalesce("nc", "c")).alias("c"))
+        lower = labels.join(near, "a", "left").select("a", F.col("c").alias("was"), F.least("c", F.coalesce("nc", "c")).alias("c"))
         jump = lower.select(F.col("a").alias("c"), F.col("c").alias("cc"))
-        new = cut(lower.join(jump, "c", "left").select("a", F.least("c", F.coalesce("cc", "c")).alias("c")))
-        if new.join(labels, ["a", "c"], "left_anti").isEmpty():
-            return new.select(F.col("a").alias("node"), F.col("c").alias("component"))
-        labels = new
-
-
-def _replay(rows: pd.DataFrame) -> pd.DataFrame:
-    """The sequential rule over one component; rows hold a name and its candidate earlier names."""
-    import pandas as pd
-
-    funds: dict[str, tuple] = {}
-    out = []
-    for r in rows.sort_values("arrival", kind="stable").itertuples():
-        best, best_score = None, 0.0
-        options = sorted((e for e in r.options if e["earlier"] in funds), key=lambda e: funds[e["earlier"]][0])
-        for e in options:
-            _, manager, vintage = funds[e["earlier"]]
-            signals = int(e["score"] > NAME_SIGNAL)
-            signals += bool(r.manager and manager and ratio(r.manager, manager) > MANAGER_SIGNAL)
-            signals += bool(r.vintage and vintage and r.vintage == vintage)
-            if signals >= SIGNALS and e["score"] > best_score:
-                best, best_score = e["earlier"], e["score"]
-        if best is None:
-            funds[r.key] = (r.arrival, r.manager, r.vintage)
-        out.append((r.key, best or r.key, "fuzzy" if best else "new", best_score or None))
-    return pd.DataFrame(out, columns=["key", "fund_key", "match_type", "score"])
+        new = cut(lower.join(jump, "c", "left").select("a", F.least("c", F.coalesce("cc", "c")).alias("c"), "was"), clear=True)
+        labels = new.select("a", "c")
+        if new.where("c <> was").isEmpty():
+            return labels.select(F.col("a").alias("node"), F.col("c").alias("component"))
+
+
+def _followed(edges: Column) -> Column:
+    """The sequential rule over one component of matching pairs, in order of arrival: the places of the pairs in which a name follows an earlier one."""
+    import pandas as pd  # only where it is used: a driver that plans other queries stays small
+
+    def one(later, earlier, scores) -> list[int]:
+        best: dict[int, tuple[float, int]] = {}
+        # All pairs of an earlier name come before those of a later one, so what a name follows is settled when it is an option; ties go to the earliest.
+        for i, (a, b, score) in enumerate(zip(later.tolist(), earlier.tolist(), scores.tolist(), strict=True)):
+            if b not in best and score > best.get(a, (0.0, 0))[0]:
+                best[a] = score, i
+        return [i for _, i in best.values()]
+
+    def batch(later: pd.Series, earlier: pd.Series, scores: pd.Series) -> pd.Series:
+        return pd.Series([one(*c) for c in zip(later, earlier, scores, strict=True)])
+
+    return F.pandas_udf(batch, "array<int>")(edges["la"], edges["ea"], edges["score"])
 
 
 def resolve(records: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
@@ -158,18 +225,17 @@ def resolve(records: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     else:
         keyed = keyed.withColumn("alias_key", F.lit(None).cast("string"))
     fresh = keyed.where("alias_key IS NULL AND key <> ''")
-    names = cut(first_names(fresh.select(*records.columns)))
-    pairs = cut(candidate_pairs(names))
+    # Names are numbered in order of arrival; what can be read from their forms again is not kept.
+    firsts = _firsts(fresh.select(*records.columns)).orderBy("arrival").withColumnRenamed("arrival", "since").withColumn("arrival", F.monotonically_increasing_id())
+    kept = _described(firsts).select("key", "since", "arrival", F.when(F.col("canonical") != F.col("key"), F.col("canonical")).alias("canonical"), "number", "canonical_number", "manager", "vintage_year")
+    kept = cut(kept, clear=True)
+    pairs = cut(matching_pairs(_worded(kept.withColumn("canonical", F.coalesce("canonical", "key")))), clear=True)
     # Only names that a possible match connects are replayed; all others are new funds.
-    parts = components(pairs, "later", "earlier")
-    options = pairs.groupBy("later").agg(F.collect_list(F.struct("earlier", "score")).alias("options"))
-    rows = names.join(parts, names["key"] == F.col("node")).join(options, names["key"] == F.col("later"), "left").select(
-        "component", "key", "arrival", F.coalesce("manager", F.lit("")).alias("manager"), F.coalesce("vintage_year", F.lit(0)).cast("long").alias("vintage"),
-        F.coalesce("options", F.array().cast("array<struct<earlier:string,score:double>>")).alias("options"),
-    )
-    replayed = rows.groupBy("component").applyInPandas(_replay, "key string, fund_key string, match_type string, score double")
-    decided = names.select("key", F.col("arrival").alias("first_arrival")).join(replayed, "key", "left").select(
-        "key", "first_arrival", F.coalesce("fund_key", "key").alias("fund_key"), F.coalesce("match_type", F.lit("new")).alias("first_type"), "score",
+    whole = pairs.join(components(pairs, "la", "ea"), F.col("la") == F.col("node")).groupBy("component").agg(F.sort_array(F.collect_list(F.struct(*pairs.columns))).alias("edges"))
+    followed = whole.select("edges", F.explode(_followed(F.col("edges"))).alias("i")).select(F.col("edges")[F.col("i")].alias("f"))
+    replayed = followed.select(F.col("f.later").alias("key"), F.col("f.earlier").alias("fund_key"), "f.score")
+    decided = kept.select("key", F.col("since").alias("first_arrival")).join(replayed, "key", "left").select(
+        "key", "first_arrival", F.coalesce("fund_key", "key").alias("fund_key"), F.when(F.col("fund_key").isNull(), F.lit("new")).otherwise("fuzzy").alias("first_type"), "score",
     )
     out = keyed.join(decided, "key", "left")
     kind = F.when(F.col("alias_key").isNotNull(), "alias").when(F.col("arrival") == F.col("first_arrival"), F.col("first_type")).when(F.col("first_type") == "fuzzy", "alias").when(F.col("first_type").isNotNull(), "exact")

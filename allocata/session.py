@@ -17,6 +17,7 @@ DEFAULTS = {
     # Checkpoints that nothing refers to any more are removed.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+CLEAR_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
@@ -46,10 +47,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "allocata-checkpoints"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise a stage in the shared folder and cut its lineage; it survives the loss of an executor."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, clear: bool = False) -> DataFrame:
+    """Materialise a stage in the shared folder and cut its lineage; it survives the loss of an executor.
+
+    clear: the shuffle files it was made from are removed as soon as it is written, not when the driver collects its garbage.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not clear:
+        return df.checkpoint(eager=True)
+    before = spark.conf.get(CLEAR_SHUFFLES, None)
+    spark.conf.set(CLEAR_SHUFFLES, "true")
+    try:
+        # A plan of its own takes the setting; shuffles of other plans stay.
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.unset(CLEAR_SHUFFLES) if before is None else spark.conf.set(CLEAR_SHUFFLES, before)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,3 +198,57 @@ def test_meetings_are_not_kept_before_they_pass(spark):
     rows = [(f"{i:02d}", f"Alder{i} Birch{i} Energy Fund", None, None) for i in range(5)]
     plan = E.candidate_pairs(E.first_names(spark.createDataFrame(rows, RECORD)))._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" in plan and "Aggregate [later" not in plan and "Aggregate [earlier" not in plan
+
+
+def shuffle_blocks(spark):
+    kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString("|").split("|")
+    return {b for b in kept if b.startswith("shuffle_") and b.endswith("_0.data")}
+
+
+def test_steps_of_resolution_leave_no_shuffle_files(spark):
+    """What a step wrote to shuffle is gone when the step is kept, so disk holds one step at a time."""
+    rows = [(f"{i:03d}", f"Alder{i % 40} Birch{i % 7} Energy Fund{' LP' * (i % 2)}", "Alder", 2015) for i in range(200)]
+    df = spark.createDataFrame(rows, RECORD)
+    before = shuffle_blocks(spark)
+    resolved = E.resolve(df)
+    for _ in range(50):  # files are removed in the background
+        if not (left := shuffle_blocks(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert resolved.count() == len(rows)
+
+
+def test_only_pairs_with_signals_are_scored(spark):
+    """Alike names without a common vintage or manager are candidates, but no step of resolution compares their texts."""
+    rows = [(f"{i:03d}", f"Alder{chr(97 + i % 26)} Birchwood{chr(97 + i // 26)} Energy Fund", None, 1990 + i) for i in range(40)]
+    rows += [("900", "Aldera Birchwooda Energy Fnd", None, 1990), ("901", "Alderb Birchwooda Energy Fnd", "Oak", 2020)]
+    names = E.first_names(spark.createDataFrame(rows, RECORD))
+    assert E.meeting_pairs(names).count() > 300
+    assert E.meeting_pairs(names, signals=True).count() < 5
+    got = {r["arrival"]: (r["fund_key"], r["match_type"]) for r in E.resolve(spark.createDataFrame(rows, RECORD)).collect()}
+    assert got["900"] == ("aldera birchwooda energy fund", "fuzzy") and got["901"][1] == "new"
+
+
+def test_short_and_twice_ending_names_resolve_as_in_the_scan(spark):
+    """Names of one word or none, names whose stored form is another one, and links by manager alone equal the plain loop."""
+    rng = random.Random(3)
+    base = ["Alder", "Energy", "Energy Fund", "Growth Fund", "Growth Partners", "Alder LLC", "Alder Energy", "Alder Energy Secondaries", "Alder Energy Secondaries Peak", "Secondaries Alder LLC", ""]
+    rows = []
+    for i in range(220):
+        name = f"{rng.choice(base)} {rng.choice(['', '', 'II', 'III', 'Asia'])}{rng.choice(['', ' Inc', ', L.P.', ' LLC Inc', ' Ltd Co'])}"
+        if rng.random() < 0.3 and name.strip():
+            k = rng.randrange(len(name))
+            name = name[:k] + rng.choice("aeiou") + name[k:]
+        rows.append((f"{i:04d}", name, rng.choice([None, "Alder Oak", "Aldr Oak", "Birch"]), rng.choice([None, 2015, 2016])))
+    df = spark.createDataFrame(rows, RECORD)
+    by_key = {r["key"]: r for r in E.first_names(df).collect()}
+    facts = {r["arrival"]: r for r in df.select("arrival", F.lower(N.normalized_name(F.col("fund_name_raw"))).alias("k"), F.lower(N.normalized_name(F.col("general_partner"))).alias("m")).collect()}
+    feed = []
+    for a, _, _, v in sorted(rows):
+        if facts[a]["k"]:
+            f = by_key[facts[a]["k"]]
+            feed.append((a, f["key"], f["canonical"], f["number"], f["canonical_number"], set(f["tokens"]), set(f["stored_tokens"]), f["strategies"], facts[a]["m"], v))
+    got = {r["arrival"]: (r["fund_key"], r["match_type"]) for r in E.resolve(df).collect() if r["fund_key"]}
+    assert got == sequential(feed)
+    assert any(f["key"] != f["canonical"] for f in by_key.values()) and sum(t == "fuzzy" for _, t in got.values()) > 10
